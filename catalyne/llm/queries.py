@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, substring
+from . import langid, packing, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": packing.query,
+    "op2_language_id": langid.query,
     "op5_simhash": simhash.query,
     "op8_substring_dedup": substring.query,
 }
