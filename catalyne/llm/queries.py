@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, simhash, substring
+from . import langid, licenses, packing, quality, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
     "op2_language_id": langid.query,
     "op5_simhash": simhash.query,
     "op8_substring_dedup": substring.query,
+    "op9_license_scan": licenses.query,
+    "op10_quality_rules": quality.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
