@@ -13,13 +13,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 ROUNDS = 50
-#: Limits of what a rule's accuracy and the share of good texts can become, so that rules never change sides.
-ACCURACY, PRIOR = (0.55, 0.99), (0.05, 0.95)
-START_ACCURACY, START_PRIOR = 0.8, 0.8
+#: Limits of what a rule's rate of votes against good and against bad texts can become, and the share of good texts, so
+#: that rules never change sides.
+AGAINST_GOOD, AGAINST_BAD, PRIOR = (0.001, 0.03), (0.15, 0.95), (0.5, 0.95)
+#: Where these start.
+START = (0.02, 0.4, 0.85)
 KEEP = 0.5
 
 GOOD, BAD = 1, -1
-FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_letters", "n_distinct", "n_ended", "n_shouts"]
+FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_letters", "n_distinct", "n_ended", "n_shouts", "n_marked", "n_wordless"]
 
 
 def ratio(a: str, b: str) -> Column:
@@ -42,10 +44,12 @@ def rules() -> list[tuple[str, Column]]:
         ("repeated_words", vote((n >= 30) & (ratio("n_repeat_words", "n_words") < 0.15), ratio("n_repeat_words", "n_words") > 0.4)),
         ("capitals", vote(ratio("n_upper", "n_letters") < 0.25, ratio("n_upper", "n_letters") > 0.6)),
         ("digits", vote(ratio("n_digits", "word_chars") < 0.1, ratio("n_digits", "word_chars") > 0.3)),
-        ("letters", vote(ratio("n_letters", "word_chars") > 0.8, ratio("n_letters", "word_chars") < 0.5)),
+        ("letters", vote(ratio("n_letters", "word_chars") > 0.8, ratio("n_letters", "word_chars") < 0.75)),
         ("vocabulary", vote((n >= 50) & (ratio("n_distinct", "n_words") > 0.25), (n >= 50) & (ratio("n_distinct", "n_words") < 0.1))),
         ("ended_lines", vote(ratio("n_ended", "n_lines") > 0.5, (F.col("n_lines") >= 5) & (ratio("n_ended", "n_lines") < 0.1))),
         ("shouts", vote(F.lit(False), ratio("n_shouts", "n_words") > 0.1)),
+        ("marked_words", vote(ratio("n_marked", "n_words") < 0.02, ratio("n_marked", "n_words") > 0.15)),
+        ("wordless", vote(ratio("n_wordless", "n_words") < 0.05, ratio("n_wordless", "n_words") > 0.15)),
     ]
 
 
@@ -76,6 +80,8 @@ def features(docs: DataFrame) -> DataFrame:
         "n_letters": removed(t, r"\p{L}"),
         "n_distinct": F.size(F.array_distinct("w")),
         "n_ended": F.size(F.filter("lines", lambda x: x.rlike(r"[.!?:][\x20\x09-\x0D]*$"))),
+        "n_marked": F.size(F.filter("w", lambda x: x.rlike("[#*$%&|<>]"))),
+        "n_wordless": F.size(F.filter("w", lambda x: ~x.rlike(r"[\p{L}\p{N}]"))),
         "n_shouts": F.size(F.filter("w", lambda x: x.rlike(r"!!|\?\?"))),
     }
     b = a.select("doc_id", *[c.cast("long").alias(x) for x, c in counts.items()], F.sort_array(F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>"))).alias("s"))
@@ -90,29 +96,47 @@ def features(docs: DataFrame) -> DataFrame:
     return c.select("doc_id", *counts, covered.alias("n_repeat_words")).select("doc_id", *FEATURES)
 
 
-def estimate(patterns: list[tuple[list[int], int]], n_rules: int, rounds: int = ROUNDS) -> tuple[float, list[float]]:
-    """(share of good texts, each rule's accuracy) by expectation-maximisation over vote patterns and their counts. A rule
-    that votes is right with one accuracy, whichever the side; an abstention says nothing. No texts: the starting values."""
-    prior, acc = START_PRIOR, [START_ACCURACY] * n_rules
+def estimate(patterns: list[tuple[list[int], int]], n_rules: int, rounds: int = ROUNDS) -> tuple[float, list[tuple[float, float]]]:
+    """(share of good texts, each rule's rates of votes against good and against bad texts) by expectation-maximisation over
+    vote patterns and their counts. A rule's accuracies on the two sides are its own; an abstention says nothing. No texts:
+    the starting values."""
+    prior, rates = START[2], [START[:2]] * n_rules
     for _ in range(rounds):
         good = total = 0.0
-        right, cast = [0.0] * n_rules, [0.0] * n_rules
+        sums = [[0.0] * 4 for _ in range(n_rules)]  # against good, on good, against bad, on bad
         for votes, n in patterns:
-            p = posterior(votes, prior, acc)
+            p = posterior(votes, prior, rates)
             good, total = good + n * p, total + n
-            for j, v in enumerate(votes):
+            for s, v in zip(sums, votes):
                 if v:
-                    right[j] += n * (p if v == GOOD else 1 - p)
-                    cast[j] += n
+                    s[1] += n * p
+                    s[3] += n * (1 - p)
+                    if v == BAD:
+                        s[0] += n * p
+                        s[2] += n * (1 - p)
         if not total:
             break
-        prior = min(max(good / total, PRIOR[0]), PRIOR[1])
-        acc = [min(max(r / c, ACCURACY[0]), ACCURACY[1]) if c else a for r, c, a in zip(right, cast, acc)]
-    return prior, acc
+        prior = clamp(good / total, PRIOR)
+        rates = [(clamp(s[0] / s[1], AGAINST_GOOD) if s[1] else r[0], clamp(s[2] / s[3], AGAINST_BAD) if s[3] else r[1]) for s, r in zip(sums, rates)]
+    return prior, rates
 
 
-def posterior(votes: list[int], prior: float, acc: list[float]) -> float:
-    return 1 / (1 + math.exp(-log_odds(prior) - sum(v * log_odds(a) for v, a in zip(votes, acc))))
+def clamp(x: float, limits: tuple[float, float]) -> float:
+    return min(max(x, limits[0]), limits[1])
+
+
+def weights(rates: tuple[float, float]) -> tuple[float, float]:
+    """What a vote for and a vote against add to the log-odds of a good text."""
+    good, bad = rates
+    return math.log((1 - good) / (1 - bad)), math.log(good / bad)
+
+
+def posterior(votes: list[int], prior: float, rates: list[tuple[float, float]]) -> float:
+    total = log_odds(prior)
+    for v, r in zip(votes, rates):
+        if v:
+            total += weights(r)[v == BAD]
+    return 1 / (1 + math.exp(-total))
 
 
 def log_odds(p: float) -> float:
@@ -132,9 +156,10 @@ def judged(docs: DataFrame) -> DataFrame:
     table = written(features(docs).withColumn("votes", code), "features")
     found = table.groupBy("votes").agg(F.count("*").alias("n")).collect()
     patterns = sorted(([r["votes"] // 3**j % 3 - 1 for j in range(len(named))], r["n"]) for r in found)
-    prior, acc = estimate(patterns, len(named))
+    prior, rates = estimate(patterns, len(named))
     digit = [F.floor(F.col("votes") / F.lit(3**j)) % 3 - 1 for j in range(len(named))]
-    total = sum((d * F.lit(log_odds(a)) for d, a in zip(digit, acc)), F.lit(log_odds(prior)))
+    parts = [F.when(d == GOOD, weights(r)[0]).when(d == BAD, weights(r)[1]).otherwise(0.0) for d, r in zip(digit, rates)]
+    total = sum(parts, F.lit(log_odds(prior)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = table.withColumn("base_failed", failed).withColumn("quality", 1 / (1 + F.exp(-total)))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP)).drop("votes")
