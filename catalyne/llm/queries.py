@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, packing, quality, simhash, substring
+from . import langid, licenses, lines, packing, pieces, quality, simhash, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
     "op2_language_id": langid.query,
+    "op3_sentencepiece": pieces.query,
+    "op4_line_dedup": lines.query,
     "op5_simhash": simhash.query,
+    "op7_warc_derivatives": warc.query,
     "op8_substring_dedup": substring.query,
     "op9_license_scan": licenses.query,
     "op10_quality_rules": quality.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.SQL}
