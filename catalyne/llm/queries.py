@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, lines, packing, pieces, quality, simhash, substring, warc
+from . import ann, langid, licenses, lines, packing, pieces, quality, simhash, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": pieces.query,
     "op4_line_dedup": lines.query,
     "op5_simhash": simhash.query,
+    "op6_nearest_neighbours": ann.query,
     "op7_warc_derivatives": warc.query,
     "op8_substring_dedup": substring.query,
     "op9_license_scan": licenses.query,
