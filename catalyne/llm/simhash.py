@@ -162,7 +162,7 @@ def links(classes: DataFrame, radius: int = 4, chunk: int = CHUNK) -> DataFrame:
     def bits(spans: list[tuple[int, int]]) -> Column:
         out, at = F.lit(0).cast("long"), 0
         for a, b in spans:
-            part = F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1))
+            part = F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1 if b - a < 64 else -1))
             out, at = out.bitwiseOR(F.shiftleft(part, at)), at + b - a
         return out
 
