@@ -93,9 +93,11 @@ def blend(rows: DataFrame, limit: int | None = None) -> DataFrame:
     return out.limit(limit) if limit else out
 
 
-def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL, fold: bool = True) -> DataFrame | None:
+def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL, fold: bool = True, terms: DataFrame | None = None, embeddings: DataFrame | None = None) -> DataFrame | None:
     """The products most like one, out of a pool that shares its category, words of its name, or its brand; None if there is
-    no such product. Scores: term weights over base and pool, nutrients, and category hierarchy, one third each."""
+    no such product. Scores: text, nutrients, and category hierarchy, one third each. terms (code, terms): normalized
+    ingredient terms from elsewhere, as a part of the texts. embeddings (code, embedding): text is compared by these; without
+    them, by term weights over base and pool."""
     if not (1 <= limit <= MAX_TOP and MIN_POOL <= pool <= MAX_POOL):
         raise ValueError(f"limit: 1 to {MAX_TOP}; pool: {MIN_POOL} to {MAX_POOL}")
     spark = c.products.sparkSession
@@ -112,12 +114,19 @@ def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL,
     rows = rows.join(hierarchy_context(c, wanted.select("code"), fold), "code", "left")
     if c.aliases is not None and c.product_ingredients is not None:
         rows = rows.join(alias_names(c, wanted.select("code"), fold=fold), "code", "left")
+    if terms is not None:
+        rows = rows.join(terms.select("code", "terms"), "code", "left")
     has = rows.columns
     listed = lambda name, n=8: F.array_join(F.slice(F.col(name), 1, n), ", ") if name in has else F.lit("")
     rows = rows.withColumns({"category_label": longest_label(F.col("categories.child")), "nutrition": nutrition_vector()})
-    rows = rows.withColumn("text", semantic_text(Nom=F.col("product_name"), Categorie=F.col("category_label"), Ingredients=listed("ingredients"), Alias=listed("aliases"))).cache()
+    rows = rows.withColumn("text", semantic_text(Nom=F.col("product_name"), Categorie=F.col("category_label"), Ingredients=listed("ingredients"), **{"Ingredients normalises": listed("terms")}, Alias=listed("aliases"))).cache()
     mine = rows.where(F.col("code") == base["code"]).select(F.col("nutrition").alias("base_nutrition"), F.col("context").alias("base_context"))
-    others = rows.where(F.col("code") != base["code"]).join(text_scores(rows.select(F.col("code").alias("doc"), "text"), base["code"], fold=fold).withColumnRenamed("doc", "code"), "code").crossJoin(F.broadcast(mine))
+    if embeddings is not None:
+        vectors = wanted.select("code").join(embeddings.select("code", "embedding"), "code", "left")
+        texts = embedding_scores(vectors, base["code"], "code")
+    else:
+        texts = text_scores(rows.select("code", "text"), base["code"], "code", fold=fold)
+    others = rows.where(F.col("code") != base["code"]).join(texts, "code").crossJoin(F.broadcast(mine))
     scored = others.withColumns({"nutrition_similarity": euclidean_similarity("nutrition", "base_nutrition"), "category_similarity": hierarchy_score("context", "base_context")})
     return blend(scored.drop("pos", "nutrition", "context", "base_nutrition", "base_context", "text"), limit)
 
