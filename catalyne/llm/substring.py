@@ -127,7 +127,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     late = each.join(first, ["h1", "h2"]).where("doc_id > lo").select("doc_id", "tkey", F.col("p").alias("a"), F.col("p").alias("b"))
     covered = hits.where("settled").select("doc_id", "tkey", "a", "b").unionByName(late)
     merged = covered.groupBy("doc_id", "tkey").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("runs"))
-    return merged.select("doc_id", "tkey", F.col("runs.a").alias("a"), F.col("runs.b").alias("b")).mapInArrow(joined(window), f"{DOC}, spans array<struct<start:int,end:int>>")
+    found = merged.select("doc_id", "tkey", F.col("runs.a").alias("a"), F.col("runs.b").alias("b")).mapInArrow(joined(window), f"{DOC}, spans array<struct<start:int,end:int>>")
+    found = written(found, "found")
+    discard(hits, each)
+    return found
 
 
 def joined(window: int):
