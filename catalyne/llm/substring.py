@@ -81,8 +81,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Levels: a window can only repeat if the half-length window inside it that is its anchor repeats, so that the first
     level looks at anchors alone, one for every dozen words. Runs of windows on an anchor that is in several documents are
-    extended to the full length: first as a whole (a run that a smaller document also has is settled with one row), then
-    window by window, in the one document that has the run first. Nulls: rows with a null doc_id or text have no windows.
+    extended to the full length: first as a whole (a run that a smaller document also has is settled with one row), then,
+    where runs on one anchor differ, window by window, in the one document that has the run first. Anchors whose runs are
+    all the same need no more. Nulls: rows with a null doc_id or text have no windows.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -99,16 +100,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     table = written(source.mapInArrow(spans, f"{DOC}, m long, s long, a int, b int"), "spans")
 
-    # Which anchors are in several documents, and of their runs the smallest document.
+    # Of each run the smallest document, and whether its anchor has runs that begin with other documents.
     runs = table.groupBy("m", "s").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    shared = runs.groupBy("m").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("m")
-    owners = runs.join(shared, "m").select("m", "s", "lo")
-    hits = written(table.join(owners, ["m", "s"]).select("doc_id", "tkey", "a", "b", (F.col("doc_id") > F.col("lo")).alias("settled")), "hits")
+    forked = runs.groupBy("m").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where("a < b").select("m", F.lit(True).alias("forked"))
+    owners = runs.join(forked, "m", "left").where("lo < hi or forked").select("m", "s", "lo", F.coalesce("forked", F.lit(False)).alias("forked"))
+    met = table.join(owners, ["m", "s"]).where("doc_id > lo or forked")
+    hits = written(met.select("doc_id", "tkey", "a", "b", (F.col("doc_id") > F.col("lo")).alias("settled")), "hits")
     discard(table)
 
     # The rest, window by window.
     open_ = hits.where("not settled").groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    texts = source.join(open_, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", F.col("runs.a").alias("a"), F.col("runs.b").alias("b"))
+    # A merge join at every size: these lists grow with the corpus.
+    texts = source.join(open_.hint("merge"), ["doc_id", "tkey"]).select("doc_id", "tkey", "text", F.col("runs.a").alias("a"), F.col("runs.b").alias("b"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +158,7 @@ def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
     left = docs.select(*names, F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tkey")).alias("_at"))
     right = found.select(F.struct(F.col("doc_id").alias("id"), "tkey").alias("_at"), F.col("spans").alias("_spans"))
-    both = left.join(right, "_at", "left").drop("_at")
+    both = left.join(right.hint("merge"), "_at", "left").drop("_at")
     place = {c: i for i, c in enumerate(both.columns)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
