@@ -8,79 +8,79 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What stands between words, and what counts words in a text whose A-Z aren't lowered yet.
+#: What stands between words, and between words of a text whose A-Z aren't lowered yet.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: The base phrases and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
 #: Label, the ways to name the licence (a regular expression over lower-case words with one space between
-#: them), and a word that every naming has. More special licences stand before those that their names contain.
+#: them), and texts of which every naming has one.
 FAMILIES = (
-    ("agpl-3.0", "(?:gnu )?(?:agpl|affero general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ""),
-    ("agpl", "(?:gnu )?(?:agpl|affero general public licen[cs]e)", ""),
-    ("lgpl-2.1", "(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: v| version)? ?2 1", ""),
-    ("lgpl-3.0", "(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ""),
-    ("lgpl", "(?:gnu )?(?:lgpl|(?:lesser|library) general public licen[cs]e)", ""),
-    ("gpl-2.0", "(?:gnu )?(?:gpl|general public licen[cs]e)(?: v| version)? ?2(?: 0)?", ""),
-    ("gpl-3.0", "(?:gnu )?(?:gpl|general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ""),
-    ("gpl", "(?:gnu )?(?:gpl|general public licen[cs]e)", ""),
-    ("apache-1.1", "apache(?: software)?(?: licen[cs]e)?(?: v| version)? ?1 1", "apache"),
-    ("apache-2", "apache(?: software)?(?: licen[cs]e)?(?: v| version)? ?2(?: 0)?", "apache"),
-    ("apache", "apache(?: software)?", "apache"),
-    ("bsd-2-clause", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)", "bsd"),
-    ("bsd-3-clause", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)", "bsd"),
-    ("bsd-4-clause", "(?:original bsd|bsd 4 clause|4 clause bsd)", "bsd"),
-    ("bsd", "bsd", "bsd"),
-    ("mit-0", "mit no attribution", "mit"),
-    ("mit", "(?:mit|expat)(?: x11)?", ""),
-    ("isc", "isc", "isc"),
-    ("mpl-1.1", "(?:mpl|mozilla public licen[cs]e)(?: v| version)? ?1 1", ""),
-    ("mpl-2.0", "(?:mpl|mozilla public licen[cs]e)(?: v| version)? ?2(?: 0)?", ""),
-    ("mpl", "(?:mpl|mozilla public licen[cs]e)", ""),
-    ("epl-1.0", "(?:epl|eclipse public licen[cs]e)(?: v| version)? ?1(?: 0)?", ""),
-    ("epl-2.0", "(?:epl|eclipse public licen[cs]e)(?: v| version)? ?2(?: 0)?", ""),
-    ("edl-1.0", "eclipse distribution licen[cs]e(?: v| version)? ?1(?: 0)?", "eclipse"),
-    ("cddl-1.0", "(?:cddl|common development and distribution licen[cs]e)(?: v| version)? ?1?(?: 0)?", ""),
-    ("cpl-1.0", "common public licen[cs]e(?: v| version)? ?1?(?: 0)?", "common"),
-    ("artistic-2.0", "artistic licen[cs]e(?: v| version)? ?2(?: 0)?", "artistic"),
-    ("artistic-1.0", "artistic", "artistic"),
-    ("zlib", "zlib(?: libpng)?", "zlib"),
-    ("boost-1.0", "(?:boost software|bsl 1 0)", ""),
-    ("unlicense", "unlicen[cs]e", "unlicen"),
-    ("wtfpl", "wtfpl", "wtfpl"),
-    ("cc0-1.0", "(?:cc0(?: 1 0)?|creative commons zero)", "c"),
-    ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s?)(?: [1-4] 0)?", "c"),
-    ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1-4] 0)?", "c"),
-    ("cc-by-nc", "(?:cc by nc|creative commons attribution non ?commercial)(?: [1-4] 0)?", "c"),
-    ("cc-by-nd", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s?)(?: [1-4] 0)?", "c"),
-    ("cc-by-sa", "(?:cc by sa|creative commons attribution share ?alike)(?: [1-4] 0)?", "c"),
-    ("cc-by", "(?:cc by|creative commons attribution)(?: [1-4] 0)?", "c"),
-    ("odbl-1.0", "(?:odbl|open database licen[cs]e)(?: v| version)?(?: 1 0)?", ""),
-    ("odc-by-1.0", "(?:odc by|open data commons attribution)(?: 1 0)?", ""),
-    ("pddl-1.0", "(?:pddl|public domain dedication and licen[cs]e)(?: 1 0)?", ""),
-    ("ofl-1.1", "(?:sil )?(?:ofl|open font licen[cs]e)(?: v| version)?(?: 1 1)?", ""),
-    ("gfdl-1.3", "(?:gnu )?(?:gfdl|free documentation licen[cs]e)(?: v| version)?(?: 1 3)?", ""),
-    ("psf-2.0", "(?:psf|python software foundation)(?: licen[cs]e)?(?: v| version)?(?: 2(?: 0)?)?", ""),
-    ("php-3.01", "php licen[cs]e(?: v| version)?(?: 3 0?1)?", "php"),
-    ("ruby", "ruby", "ruby"),
-    ("postgresql", "postgre(?:s|sql)", "postgre"),
-    ("ms-pl", "(?:ms pl|microsoft public licen[cs]e)", ""),
-    ("eupl-1.2", "(?:eupl|european union public licen[cs]e)(?: v| version)?(?: 1 2)?", ""),
-    ("openssl", "openssl", "openssl"),
-    ("x11", "x11", "x11"),
+    ("agpl-3.0", "(?:gnu )?(?:agpl|affero general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ("agpl", "affero general public")),
+    ("agpl", "(?:gnu )?(?:agpl|affero general public licen[cs]e)", ("agpl", "affero general public")),
+    ("lgpl-2.1", "(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: v| version)? ?2 1", ("lgpl", "lesser general public")),
+    ("lgpl-3.0", "(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ("lgpl", "lesser general public")),
+    ("lgpl", "(?:gnu )?(?:lgpl|(?:lesser|library) general public licen[cs]e)", ("lgpl", "lesser general public", "library general public")),
+    ("gpl-2.0", "(?:gnu )?(?:gpl|general public licen[cs]e)(?: v| version)? ?2(?: 0)?", ("gpl", "general public")),
+    ("gpl-3.0", "(?:gnu )?(?:gpl|general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ("gpl", "general public")),
+    ("gpl", "(?:gnu )?(?:gpl|general public licen[cs]e)", ("gpl", "general public")),
+    ("apache-1.1", "apache(?: software)?(?: licen[cs]e)?(?: v| version)? ?1 1", ("apache",)),
+    ("apache-2", "apache(?: software)?(?: licen[cs]e)?(?: v| version)? ?2(?: 0)?", ("apache",)),
+    ("apache", "apache(?: software)?", ("apache",)),
+    ("bsd-2-clause", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)", ("bsd",)),
+    ("bsd-3-clause", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)", ("bsd",)),
+    ("bsd-4-clause", "(?:original bsd|bsd 4 clause|4 clause bsd)", ("bsd",)),
+    ("bsd", "bsd", ("bsd",)),
+    ("mit-0", "mit no attribution", ("mit no attribution",)),
+    ("mit", "(?:mit|expat)(?: x11)?", (" mit ", " expat ", " mit x11")),
+    ("isc", "isc", ("isc",)),
+    ("mpl-1.1", "(?:mpl|mozilla public licen[cs]e)(?: v| version)? ?1 1", ("mpl", "mozilla public")),
+    ("mpl-2.0", "(?:mpl|mozilla public licen[cs]e)(?: v| version)? ?2(?: 0)?", ("mpl", "mozilla public")),
+    ("mpl", "(?:mpl|mozilla public licen[cs]e)", ("mpl", "mozilla public")),
+    ("epl-1.0", "(?:epl|eclipse public licen[cs]e)(?: v| version)? ?1(?: 0)?", ("epl", "eclipse public")),
+    ("epl-2.0", "(?:epl|eclipse public licen[cs]e)(?: v| version)? ?2(?: 0)?", ("epl", "eclipse public")),
+    ("edl-1.0", "eclipse distribution licen[cs]e(?: v| version)? ?1(?: 0)?", ("eclipse distribution",)),
+    ("cddl-1.0", "(?:cddl|common development and distribution licen[cs]e)(?: v| version)? ?1?(?: 0)?", ("cddl", "common development and distribution")),
+    ("cpl-1.0", "common public licen[cs]e(?: v| version)? ?1?(?: 0)?", ("common public",)),
+    ("artistic-2.0", "artistic licen[cs]e(?: v| version)? ?2(?: 0)?", ("artistic",)),
+    ("artistic-1.0", "artistic", ("artistic",)),
+    ("zlib", "zlib(?: libpng)?", ("zlib",)),
+    ("boost-1.0", "(?:boost software|bsl 1 0)", ("boost software", "bsl 1 0")),
+    ("unlicense", "unlicen[cs]e", ("unlicen",)),
+    ("wtfpl", "wtfpl", ("wtfpl",)),
+    ("cc0-1.0", "(?:cc0(?: 1 0)?|creative commons zero)", ("cc0", "creative commons zero")),
+    ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s?)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
+    ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
+    ("cc-by-nc", "(?:cc by nc|creative commons attribution non ?commercial)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
+    ("cc-by-nd", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s?)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
+    ("cc-by-sa", "(?:cc by sa|creative commons attribution share ?alike)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
+    ("cc-by", "(?:cc by|creative commons attribution)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
+    ("odbl-1.0", "(?:odbl|open database licen[cs]e)(?: v| version)?(?: 1 0)?", ("odbl", "open database")),
+    ("odc-by-1.0", "(?:odc by|open data commons attribution)(?: 1 0)?", ("odc by", "open data commons")),
+    ("pddl-1.0", "(?:pddl|public domain dedication and licen[cs]e)(?: 1 0)?", ("pddl", "public domain dedication")),
+    ("ofl-1.1", "(?:sil )?(?:ofl|open font licen[cs]e)(?: v| version)?(?: 1 1)?", ("ofl", "open font")),
+    ("gfdl-1.3", "(?:gnu )?(?:gfdl|free documentation licen[cs]e)(?: v| version)?(?: 1 3)?", ("gfdl", "free documentation")),
+    ("psf-2.0", "(?:psf|python software foundation)(?: licen[cs]e)?(?: v| version)?(?: 2(?: 0)?)?", (" psf ", "python software foundation", " psf 2")),
+    ("php-3.01", "php licen[cs]e(?: v| version)?(?: 3 0?1)?", ("php licen",)),
+    ("ruby", "ruby", ("ruby",)),
+    ("postgresql", "postgre(?:s|sql)", ("postgre",)),
+    ("ms-pl", "(?:ms pl|microsoft public licen[cs]e)", ("ms pl", "microsoft public")),
+    ("eupl-1.2", "(?:eupl|european union public licen[cs]e)(?: v| version)?(?: 1 2)?", ("eupl", "european union public")),
+    ("openssl", "openssl", ("openssl",)),
+    ("x11", "x11", ("x11",)),
 )
 
-#: How a text speaks of a licence, with the rank of such a rule; {} is the name.
+#: How a text speaks of a licence ({} is the name), the rank of such a rule, and groups of texts; of each
+#: group, every place has one.
 TEMPLATES = (
-    ("spdx license identifier {}(?: only| or later)?", "spdx license identifier", 5),
-    ("(?:licen[cs]ed|released|distributed|available|provided|published|made available) under (?:the |an? )?(?:terms of )?(?:the |an? )?{}(?: licen[cs]e)?", "under", 4),
-    ("(?:subject to|governed by|covered by|terms of|permitted by) (?:the )?{}(?: licen[cs]e)?", "", 3),
-    ("under (?:the )?{} licen[cs]e", "under", 3),
-    ("{} licen[cs]e(?: agreement| text| notice)?", "licen", 2),
-    ("licen[cs]e(?: is| type)? {}", "licen", 1),
+    ("spdx license identifier {}(?: only| or later)?", 5, (("spdx license identifier",),)),
+    ("(?:licen[cs]ed|released|distributed|available|provided|published|made available) under (?:the |an? )?(?:terms of )?(?:the |an? )?{}(?: licen[cs]e)?", 4, ((" under ",), (" licen", " released ", " distributed ", " available ", " provided ", " published "))),
+    ("(?:subject to|governed by|covered by|terms of|permitted by) (?:the )?{}(?: licen[cs]e)?", 3, ((" subject to ", " governed by ", " covered by ", " terms of ", " permitted by "),)),
+    ("under (?:the )?{} licen[cs]e", 3, ((" under ",), (" licen",))),
+    ("{} licen[cs]e(?: agreement| text| notice)?", 2, ((" licen",),)),
+    ("licen[cs]e(?: is| type)? {}", 1, ((" licen",),)),
 )
 
 #: Rules of their own: label, expression, keyword, rank.
@@ -102,37 +102,60 @@ SINGLE = (
 )
 
 RANKS = 5
-#: A text without any of these, over letters of either case, has no place that a rule or a base phrase could match.
-PREFILTER = "(?i)licen[cs]|cc" + WORD_ANY_CASE.replace("[^", "[") + "by|permission (?:is|to)|redistribution|neither|free|you|public|provided|rights|propriet|confident|may|under|subject|governed|covered|permitted|terms"
+#: Every rule and base phrase but the one below holds one of these.
+PREFILTER = ("licen", "under", "subject", "governed", "covered", "permitted", "terms", "permission", "redistribution", "neither", "software", "received", "unencumbered", "domain", "provided", "rights", "propriet", "copied", "reproduced", "redistributed", "compliance")
+PREFILTER_CC = "cc" + GAP + "by"
+#: The one character beyond ASCII that lower-casing would turn into an ASCII letter by itself, and one that stays a letter.
+KELVIN, KRA = "\u212a", "\u0138"
 
 
 @dataclass(frozen=True)
 class Rule:
+    """words: texts of which every place has one."""
+
     label: str
     regex: str
-    keyword: str
+    words: tuple[str, ...]
     rank: int
 
 
+def whole(regex: str) -> str:
+    """Over whole words."""
+    return f"(?<= )(?:{regex})(?= )"
+
+
+def rule_groups() -> list[tuple[tuple[tuple[str, ...], ...], list[Rule]]]:
+    """(gates, rules): every licence in each manner of speech, and the single rules; some three hundred rules."""
+    made = [(gates, [Rule(label, whole(t.format(f"(?:{name})")), words, rank) for label, name, words in FAMILIES]) for t, rank, gates in TEMPLATES]
+    return [*made, ((), [Rule(label, whole(r), (word,), rank) for label, r, word, rank in SINGLE])]
+
+
 def signature_rules() -> list[Rule]:
-    """Every licence in every manner of speech, and the single ones; some three hundred rules."""
-    made = [Rule(label, f"(?<= )(?:{t.format(f'(?:{name})')})(?= )", max(gate, word, key=len), rank) for t, gate, rank in TEMPLATES for label, name, word in FAMILIES]
-    return made + [Rule(label, f"(?<= )(?:{r})(?= )", word, rank) for label, r, word, rank in SINGLE]
+    return [r for _, rules in rule_groups() for r in rules]
 
 
 def spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def detections(norm: Column, rules: list[Rule]) -> Column:
-    """All places of all rules, as structs (start, minus end, minus rank, label)."""
-    table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.regex).alias("regex"), F.lit(r.keyword).alias("keyword"), F.lit(r.rank).alias("rank")) for r in rules])
-    kind = "array<struct<start:int,stop:int,rank:int,label:string>>"
+def any_in(norm: Column, words: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out = F.contains(norm, F.lit(w)) | out
+    return out
+
+
+PLACES = "array<struct<start:int,stop:int,rank:int,label:string>>"
+
+
+def detections(norm: Column) -> Column:
+    """All places of all rules, as structs (start, minus end, minus rank, label). A group's rules are looked at behind its
+    gates, a rule's expression behind its words, and its places only where it matches."""
 
     def places(r: Column) -> Column:
         hits = F.regexp_extract_all(norm, r["regex"], F.lit(0))
         pairs = F.arrays_zip(F.transform(hits, F.length).alias("hit"), F.transform(F.slice(F.split(norm, r["regex"]), F.lit(1), F.size(hits)), F.length).alias("gap"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("out"))
 
         def step(acc: Column, x: Column) -> Column:
             begin = acc["at"] + x["gap"]
@@ -141,7 +164,15 @@ def detections(norm: Column, rules: list[Rule]) -> Column:
 
         return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
-    return F.sort_array(F.flatten(F.transform(F.filter(table, lambda r: F.contains(norm, r["keyword"])), places)))
+    groups = []
+    for gates, rules in rule_groups():
+        table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.regex).alias("regex"), F.array(*map(F.lit, r.words)).alias("words"), F.lit(r.rank).alias("rank")) for r in rules])
+        gate = F.lit(True)
+        for words in gates:
+            gate = gate & any_in(norm, words)
+        met = F.filter(table, lambda r: F.exists(r["words"], lambda w: F.contains(norm, w)) & F.rlike(norm, r["regex"]))
+        groups.append(F.when(gate, F.flatten(F.transform(met, places))).otherwise(F.array().cast(PLACES)))
+    return F.sort_array(F.flatten(F.array(*groups)))
 
 
 def survivors(found: Column) -> Column:
@@ -163,21 +194,22 @@ def survivors(found: Column) -> Column:
     return F.aggregate(found, start, step, lambda acc: F.struct(acc["labels"].alias("labels"), acc["rank"].alias("rank")))
 
 
-def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row of docs (doc_id, text).
 
     Words: A-Z lowered, cut at ASCII characters that are neither letters nor digits. Base phrases count wherever their words
     stand in a row. Signature rules run over the words, joined by one space, of texts that the prefilter lets through, each
-    behind its own keyword. score: 1 with a base phrase, else the highest rank among the standing places out of 5, 0 without
+    behind words of its own. score: 1 with a base phrase, else the highest rank among the standing places out of 5, 0 without
     any. Null and empty texts have no words and empty labels; an empty table gives no rows; other columns are ignored.
     """
-    rules = signature_rules() if rules is None else rules
-    text, norm = F.col("text"), F.col("norm")
+    text, low, norm = F.col("text"), F.col("low"), F.col("norm")
     a = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    lowered = F.regexp_replace(F.translate(F.concat(F.lit(" "), text, F.lit(" ")), UPPER, LOWER), GAP, " ")
-    a = a.select("doc_id", F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"), F.when(text.rlike(PREFILTER), lowered).alias("norm"))
+    # Beyond ASCII, lower-casing changes words but makes none that a rule knows.
+    a = a.select("doc_id", F.size(F.array_remove(F.split(text, GAP_ANY_CASE), "")).cast("long").alias("n_words"), F.lower(F.replace(text, F.lit(KELVIN), F.lit(KRA))).alias("low"))
+    gate = any_in(low, PREFILTER) | (F.contains(low, F.lit("cc")) & low.rlike(PREFILTER_CC))
+    a = a.select("doc_id", "n_words", F.when(gate, F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), GAP, " ")).alias("norm"))
     pieces = [F.when(F.contains(norm, F.lit(f" {p} ")), F.split(norm, f"(?<= ){re.escape(p).replace(chr(92) + ' ', ' ')}(?= )")).alias(f"p{i}") for i, (p, _) in enumerate(BASE)]
-    found = F.when(norm.isNotNull(), detections(norm, rules)).alias("found")
+    found = F.when(norm.isNotNull(), detections(norm)).alias("found")
     b = a.select("doc_id", "n_words", "norm", *pieces, found)
     counts = [F.when(F.col(f"p{i}").isNotNull(), F.size(f"p{i}") - 1).otherwise(0) for i in range(len(BASE))]
     firsts = [F.when(c > 0, spaces(F.get(f"p{i}", F.lit(0))) - 1) for i, c in enumerate(counts)]
