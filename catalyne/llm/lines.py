@@ -58,7 +58,8 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     places = written(gone.groupBy("doc_id", "tkey").agg(F.collect_set("pos").alias("_gone")), "gone")
     discard(rows)
     left = docs.select(*names, F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tkey")).alias("_at"))
-    both = left.join(places.select(F.struct(F.col("doc_id").alias("id"), "tkey").alias("_at"), "_gone"), "_at", "left")
+    # A merge join at every size: the list grows with the corpus.
+    both = left.join(places.select(F.struct(F.col("doc_id").alias("id"), "tkey").alias("_at"), "_gone").hint("merge"), "_at", "left")
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     n = F.coalesce(F.size(F.filter(lines, lambda x: tidy(x) != "")), F.lit(0))
