@@ -423,6 +423,12 @@ def str_clean_text_html(pages):
     return plain.select("page_id", F.md5(text.clean_text("html", fold=False)).alias("cleaned"))
 
 
+@query(None, "pages")
+def str_clean_text_pages(pages):
+    """Every page, with accents folded; str_clean_text_html and its SQL keep to plain ones. SQL can't fold ligatures."""
+    return pages.select("page_id", F.md5(text.clean_text("html")).alias("cleaned"))
+
+
 @query(f"SELECT p_partkey, trim(regexp_replace(regexp_replace(replace(replace(lower({CLEANED.format('x')}), '/', ' '), ',', ' '), '\\s+', '-', 'g'), '-+', '-', 'g'), '-') AS slug FROM (SELECT p_partkey, p_brand || ' / ' || p_name || ', (' || p_type || ')' AS x FROM part)", "part")
 def str_slugify(part):
     return part.select("p_partkey", text.slug(F.concat("p_brand", F.lit(" / "), "p_name", F.lit(", ("), "p_type", F.lit(")")), fold=False).alias("slug"))

@@ -14,6 +14,27 @@ def test_without_sql(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
 
 
+def test_clean_text_of_every_page(spark, tmp_path):
+    import hashlib
+    import re
+    import unicodedata
+
+    from duckdb import sql
+
+    def brute(x):
+        x = "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+        x = re.sub("[^a-zA-Z0-9%+\\-/,:. \t\n\x0b\f\r]", " ", re.sub("<[^>]+>", " ", x.replace("_", " ")))
+        return hashlib.md5(" ".join(x.split()).encode()).hexdigest()
+
+    odd = ["<p>Crème brûlée_à 5 %</p>", "ﬁn Ⅳ 漢字 <b\n>x</b>", "plain", "", None]
+    spark.createDataFrame(list(enumerate(odd)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r["page_id"]: r["cleaned"] for r in queries.QUERIES["str_clean_text_pages"](spark, str(tmp_path)).collect()}
+    assert found == {i: None if x is None else brute(x) for i, x in enumerate(odd)}
+    pages = sql(f"SELECT page_id, html FROM '{SF}/pages.parquet'").fetchall()
+    found = {r["page_id"]: r["cleaned"] for r in queries.QUERIES["str_clean_text_pages"](spark, SF).collect()}
+    assert len(found) == len(pages) and found == {i: brute(x) for i, x in pages}
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
