@@ -445,6 +445,15 @@ def str_tokenize(benchmark):
     return plain.select("item_id", F.array_join(text.tokens(text.normalized("text", fold=False)), " ").alias("tokens"))
 
 
+FOLDED = NORM.format("strip_accents(text)")
+
+
+@query(f"SELECT item_id, array_to_string({TOKENS.format(FOLDED)}, ' ') AS tokens FROM benchmark", "benchmark")
+def str_tokenize_folded(benchmark):
+    """Every item, with accents folded; str_tokenize and its SQL keep to plain ones."""
+    return benchmark.select("item_id", F.array_join(text.tokens(text.normalized("text")), " ").alias("tokens"))
+
+
 PATH = "substr(c, 1, 3) || '/' || substr(c, 4, 3) || '/' || substr(c, 7, 3) || '/' || substr(c, 10)"
 
 
@@ -656,6 +665,24 @@ def tfidf_cosine(benchmark):
     return similarity.text_scores(plain, 0, "item_id", fold=False).withColumn("text_similarity", F.round("text_similarity", 6))
 
 
+ALL_WEIGHTS = f"""
+w AS (SELECT item_id, unnest({TOKENS.format(FOLDED)}) AS token, len({TOKENS.format(FOLDED)}) AS total FROM benchmark), t AS (SELECT item_id, token, total, count(*) AS n FROM w GROUP BY 1, 2, 3), d AS (SELECT token, count(*) AS df FROM t GROUP BY 1),
+weights AS (SELECT item_id, t.token, n / total * (ln((1 + (SELECT count(*) FROM benchmark WHERE trim(text) <> '')) / (1 + df)) + 1) AS weight FROM t JOIN d ON t.token = d.token)
+"""
+
+
+@query(f"WITH {ALL_WEIGHTS} SELECT item_id, token, round(weight, 6) AS weight FROM weights", "benchmark")
+def tfidf_vectors_folded(benchmark):
+    """Every item, with accents folded; tfidf_vectors and its SQL keep to plain ones."""
+    return similarity.term_weights(benchmark, "item_id").withColumn("weight", F.round("weight", 6))
+
+
+@query(f"WITH {ALL_WEIGHTS}, b AS (SELECT token, weight FROM weights WHERE item_id = 0), n AS (SELECT item_id, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1) SELECT i.item_id, round(coalesce(x.dot / (n.norm * (SELECT norm FROM n WHERE item_id = 0)), 0), 6) AS text_similarity FROM benchmark i LEFT JOIN n ON i.item_id = n.item_id LEFT JOIN (SELECT item_id, sum(weights.weight * b.weight) AS dot FROM weights JOIN b ON weights.token = b.token GROUP BY 1) x ON i.item_id = x.item_id WHERE i.item_id <> 0", "benchmark")
+def tfidf_cosine_folded(benchmark):
+    """Every item, with accents folded; tfidf_cosine and its SQL keep to plain ones."""
+    return similarity.text_scores(benchmark, 0, "item_id").withColumn("text_similarity", F.round("text_similarity", 6))
+
+
 VECTORS = "SELECT v.vec_id, v.embedding::DOUBLE[] AS a, b.embedding::DOUBLE[] AS b FROM embeddings v, (SELECT * FROM embeddings WHERE vec_id = 1) b"
 
 

@@ -35,6 +35,13 @@ def test_clean_text_of_every_page(spark, tmp_path):
     assert len(found) == len(pages) and found == {i: brute(x) for i, x in pages}
 
 
+def test_texts_of_every_item(spark):
+    items = {r["item_id"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    assert {r["item_id"] for r in queries.QUERIES["str_tokenize_folded"](spark, SF).collect()} == items
+    assert {r["item_id"] for r in queries.QUERIES["tfidf_vectors_folded"](spark, SF).collect()} == items
+    assert {r["item_id"] for r in queries.QUERIES["tfidf_cosine_folded"](spark, SF).collect()} == items - {0}
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
