@@ -644,6 +644,14 @@ def catalog_detail_ingredients(spark, sf_dir):
     return rows.select("code", F.array_join("ingredients", "|").alias("ingredients"))
 
 
+@query(f"SELECT p_partkey::VARCHAR AS code, string_agg(DISTINCT {CLEAN.format('s_name')}, '|' ORDER BY {CLEAN.format('s_name')}) AS ingredients FROM part JOIN lineitem ON p_partkey = l_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1")
+def catalog_detail_ingredients_all(spark, sf_dir):
+    """Every product; catalog_detail_ingredients and its SQL keep to the first 200."""
+    c = catalog(spark, sf_dir)
+    rows = shop.details(c, c.products.select("code", F.lit(0).alias("pos"))).where(F.size("ingredients") > 0)
+    return rows.select("code", F.array_join("ingredients", "|").alias("ingredients"))
+
+
 # Search, similarity, comparison.
 
 WORDS = f"SELECT item_id, unnest({TOKENS.format(NORM.format('text'))}) AS token, len({TOKENS.format(NORM.format('text'))}) AS total FROM benchmark WHERE regexp_full_match(text, '[\\x00-\\x7F]*')"

@@ -42,6 +42,14 @@ def test_texts_of_every_item(spark):
     assert {r["item_id"] for r in queries.QUERIES["tfidf_cosine_folded"](spark, SF).collect()} == items - {0}
 
 
+def test_ingredients_of_every_part(spark, duck):
+    """At sf0.01, as sf0.001 has no more than 200 parts."""
+    wide = f"{SF}/../sf0.01"
+    found = queries.QUERIES["catalog_detail_ingredients_all"](spark, wide)
+    parts = duck.sql(f"SELECT count(DISTINCT l_partkey) FROM '{wide}/lineitem.parquet'").fetchall()[0][0]
+    assert found.count() == parts > 200
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
