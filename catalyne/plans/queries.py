@@ -729,6 +729,17 @@ def similar_nutrition(spark, sf_dir):
     return p.crossJoin(base).select("code", F.round(numeric.euclidean_similarity("x", "b"), 6).alias("score"))
 
 
+ALL_BLEND = f"WITH p AS ({PARTS_SQL}), base AS (SELECT * FROM p WHERE brands = 'Brand#2' ORDER BY p_partkey LIMIT 1)," + BLEND.split("LIMIT 1),", 1)[1]
+
+
+@query(f"{ALL_BLEND} SELECT v.code, round(greatest(0, 1 - list_distance(v.x, b.x) / (sqrt(list_dot_product(v.x, v.x)) + sqrt(list_dot_product(b.x, b.x)))), 6) AS score FROM v, (SELECT x FROM v WHERE code = (SELECT code FROM base)) b")
+def similar_nutrition_all(spark, sf_dir):
+    """Every part against the same base; similar_nutrition and its SQL keep to the base's brand."""
+    p = parts(spark, sf_dir).withColumn("x", similarity.nutrition_vector())
+    base = F.broadcast(p.where("brands = 'Brand#2'").orderBy("p_partkey").limit(1).select(F.col("x").alias("b")))
+    return p.crossJoin(base).select("code", F.round(numeric.euclidean_similarity("x", "b"), 6).alias("score"))
+
+
 @query()
 def similar_products(spark, sf_dir):
     """Rows only: the pool is made of three limited lists."""

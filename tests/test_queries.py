@@ -50,6 +50,10 @@ def test_ingredients_of_every_part(spark, duck):
     assert found.count() == parts > 200
 
 
+def test_nutrition_of_every_part(spark):
+    assert queries.QUERIES["similar_nutrition_all"](spark, SF).count() == spark.read.parquet(f"{SF}/part.parquet").count()
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
