@@ -28,6 +28,10 @@ TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: The start of a gzip member, of a record or either, and a record's length.
+GZIP = b"\x1f\x8b\x08"
+NEXT = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r\n")
+LENGTH = re.compile(rb"\r\ncontent-length[ \t]*:[ \t]*(\d+)[ \t]*\r\n", re.I)
 META = re.compile(r"<meta\b[^>]*?\b(?:name|property)\s*=\s*[\"']([^\"']+)[\"'][^>]*?\bcontent\s*=\s*[\"']([^\"']*)[\"']", re.I)
 
 
@@ -147,7 +151,7 @@ def derive(records: DataFrame) -> DataFrame:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, record) of the records in WARC files, plain or gzip by record; page_id: null. A file is one task's work; its
+    """(page_id, record) of the records in WARC files, plain, or gzip by record or whole; page_id: null. A file is one task's work; its
     records are taken out one after another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,19 +164,34 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def members(content: bytes) -> Iterator[bytes]:
-    """The records of a file's content, up to the first damage."""
-    while content:
-        if content[:2] == b"\x1f\x8b":
+    """The records of a file's content: those of every gzip member, and plain ones. Bytes that are neither are passed over,
+    up to the next record or member."""
+    at = 0
+    while at < len(content):
+        if content.startswith(GZIP, at):
             z = zlib.decompressobj(31)
-            data, content = z.decompress(content) + z.flush(), z.unused_data
-            yield data
-            continue
-        try:
-            _, _, rest = parse(content)
-        except (ValueError, KeyError):
-            return
-        yield content[: len(content) - len(rest)]
-        content = rest
+            data = z.decompress(memoryview(content)[at:]) + z.flush()
+            at = len(content) - len(z.unused_data)
+            yield from members(data)
+        elif end := record_end(content, at):
+            yield content[at:end]
+            at = end
+        else:
+            found = NEXT.search(content, at + 1)
+            at = found.start() if found else len(content)
+
+
+def record_end(data: bytes, at: int) -> int | None:
+    """Where the record at a place ends; None: no record, or a damaged one, that holds the start of another in its headers or
+    is longer than what is left."""
+    blank = data.find(b"\r\n\r\n", at)
+    if blank < 0 or not data.startswith(b"WARC/", at) or NEXT.search(data, at + 1, blank):
+        return None
+    length = LENGTH.search(data, at, blank + 2)
+    end = blank + 4 + int(length[1]) if length else len(data) + 1
+    if end > len(data):
+        return None
+    return end + 4 if data.startswith(b"\r\n\r\n", end) else end
 
 
 def query(spark, sf_dir: str) -> DataFrame:
