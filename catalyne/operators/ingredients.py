@@ -10,8 +10,8 @@ from ..schemas import ALIASES, INGREDIENTS, PRODUCT_INGREDIENTS, SUB_INGREDIENTS
 from ..sources.sinks import empty
 from .taxonomy import Taxonomy
 
-#: Levels of a tree that are followed.
-MAX_LEVELS = 40
+#: Levels of a tree that are followed: all of them.
+MAX_LEVELS = 1 << 30
 
 
 def tree_nodes(products: DataFrame, column: str = "ingredients", max_levels: int = MAX_LEVELS) -> DataFrame:
@@ -19,6 +19,7 @@ def tree_nodes(products: DataFrame, column: str = "ingredients", max_levels: int
     down. Anything that isn't a list has no nodes; items that aren't objects are no nodes but keep their places."""
     spark = products.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
     kind = dict(products.dtypes)[column]
     tree = F.try_parse_json(F.col(column) if kind == "string" else F.to_json(column))
     roots = products.select(F.monotonically_increasing_id().alias("row"), "code", tree.alias("tree"))

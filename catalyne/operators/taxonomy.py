@@ -14,8 +14,8 @@ from ..functions.text import stable_id, strip
 from ..schemas import CATEGORIES, CLOSURE, PRINCIPAL
 from ..sources.sinks import empty
 
-#: Parent steps that are followed at most; a guard against cycles.
-MAX_DEPTH = 64
+#: Parent steps that are followed: all of them; what has been seen is the guard against cycles.
+MAX_DEPTH = 1 << 30
 
 
 @dataclass
@@ -151,6 +151,7 @@ def closure(edges: DataFrame, start: DataFrame | None = None, max_depth: int = M
     never its own ancestor, and nothing is followed beyond max_depth or round a cycle."""
     spark = edges.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
     first = edges.join(start.select("tag").distinct(), "tag", "left_semi") if start is not None else edges
     return spark.sql(
         f"""
