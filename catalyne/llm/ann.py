@@ -177,7 +177,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHA
     """
     graph = graphs(usable(vectors).distinct(), k + 1, shard)
     shards = graph.select(F.col("shard").alias("to_shard"), F.col("dim").alias("to_dim")).distinct()
-    asked = usable(queries).select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("to_dim"))
+    asked = usable(queries).distinct().select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("to_dim"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     found = None
     for block in range(blocks):
