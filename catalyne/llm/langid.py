@@ -11,16 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, worker_cache, written
+from .common import discard, small_batches, worker_cache, written
 
 #: Bound of the training sample: rows a language, by a hash of doc_id.
 SAMPLE_ROWS = 250
-#: Bound of the training sample: different words a language, the most frequent.
-SAMPLE_WORDS = 30_000
 #: Rounds of expectation-maximisation.
 ROUNDS = 3
-#: Letters that are scored together; longer words are scored in consecutive parts.
-PART = 40
+#: Letters of words that are scored at once, and places of a long word that are looked at together.
+CELLS, SEGMENT = 1 << 17, 4096
+#: Places after which the forward sums are scaled anew, so that words of any length stay within the range of a double.
+RESCALE = 32
 #: Words whose scores a worker remembers.
 REMEMBERED = 300_000
 UNKNOWN = "und"
@@ -45,8 +45,9 @@ def vocabulary(path: str) -> list[str]:
     return sorted({p for p in pieces if p.lstrip("▁").isalpha() and p == p.lower() and "▁" not in p[1:]})
 
 
-def parts(word: str) -> list[str]:
-    return [("▁" if i == 0 else "") + word[i : i + PART] for i in range(0, len(word), PART)]
+def marked(word: str) -> str:
+    """A word as pieces know it: a mark says where it begins."""
+    return "▁" + word
 
 
 def words_of(text: str) -> list[str]:
@@ -70,17 +71,23 @@ class Lattice:
                 order = np.argsort(keys)
                 self.by_length[k] = keys[order], np.array([i for i, _ in own])[order]
 
-    def find(self, words: list[str]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-        """Lengths of the words, and for each piece length the piece that starts at each place."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        grid, found = codes(words, int(lengths.max(initial=1))), {}
+    def find(self, grid: np.ndarray) -> dict[int, np.ndarray]:
+        """For each length of pieces, the piece that starts at each place of the words in grid."""
+        found = {}
         for k, (keys, index) in self.by_length.items():
             if k > grid.shape[1]:
                 break
             h = hashed(grid, k)
             at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
             found[k] = np.where(keys[at] == h, index[at], -1)
-        return lengths, found
+        return found
+
+    def segments(self, grid: np.ndarray, backward: bool = False) -> Iterator[tuple[int, int, int, dict[int, np.ndarray]]]:
+        """(begin, end, low, pieces from place low on): all places where a piece can end, a segment at a time."""
+        begins = range(0, grid.shape[1], SEGMENT)
+        for begin in reversed(begins) if backward else begins:
+            end, low = min(grid.shape[1], begin + SEGMENT), max(0, begin - self.longest)
+            yield begin, end, low, self.find(grid[:, low:end])
 
 
 def codes(words: list[str], width: int) -> np.ndarray:
@@ -99,72 +106,97 @@ def hashed(grid: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def forward(lengths: np.ndarray, found: dict[int, np.ndarray], probs: np.ndarray) -> np.ndarray:
-    """alpha[i]: the probability of the first i letters of each word, over all of their segmentations, for each column of
-    probs (pieces x languages, and a last row for a letter without a piece). PART keeps it far from underflow."""
-    width = int(lengths.max(initial=1))
-    alpha = np.zeros((width + 1, len(lengths), probs.shape[1]))
-    alpha[0] = 1
-    for i in range(1, width + 1):
-        alpha[i] = alpha[i - 1] * FLOOR
-        for k, piece in found.items():
-            if k <= i:
-                own = piece[:, i - k]
-                some = np.flatnonzero(own >= 0)
-                alpha[i, some] += alpha[i - k, some] * probs[own[some]]
-    return alpha
+def groups(words: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """(places in words, lengths, code points) of words of like length, shorter ones first; CELLS letters or one word."""
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    at = 0
+    while at < len(order):
+        n = 1
+        while at + n < len(order) and (n + 1) * len(words[order[at + n]]) <= CELLS:
+            n += 1
+        own = order[at : at + n]
+        lengths = np.array([len(words[i]) for i in own])
+        yield own, lengths, codes([words[i] for i in own], max(1, int(lengths[-1])))
+        at += n
+
+
+def forward(lengths: np.ndarray, grid: np.ndarray, lattice: Lattice, probs: np.ndarray) -> np.ndarray:
+    """The log-probability of each word, summed over all of its segmentations, for each column of probs (pieces x
+    languages); a letter without a piece has FLOOR. lengths: rising. Sums of the latest places are scaled again and again,
+    by word and language, and the logarithms of the scales added up."""
+    (n, width), reach, columns = grid.shape, lattice.longest, probs.shape[1]
+    out, scale = np.zeros((n, columns)), np.zeros((n, columns))
+    alpha = np.zeros((min(width, SEGMENT) + reach + 1, n, columns))
+    alpha[reach] = 1  # the segment's first place
+    for begin, end, low, found in lattice.segments(grid):
+        for i in range(begin + 1, end + 1):
+            row = reach + i - begin
+            alpha[row] = alpha[row - 1] * FLOOR
+            for k, piece in found.items():
+                if k <= i:
+                    own = piece[:, i - k - low]
+                    some = np.flatnonzero(own >= 0)
+                    alpha[row, some] += alpha[row - k, some] * probs[own[some]]
+            a, b = np.searchsorted(lengths, (i, i + 1))
+            out[a:b] = np.log(alpha[row, a:b]) + scale[a:b]
+            if i % RESCALE == 0 and i < width:
+                recent = alpha[row - reach : row + 1]
+                most = recent.max(axis=0)
+                recent /= most
+                scale += np.log(most)
+        alpha[: reach + 1] = alpha[end - begin : end - begin + reach + 1].copy()
+    return out
 
 
 def log_scores(words: list[str], lattice: Lattice, probs: np.ndarray) -> np.ndarray:
-    """The log-probability of each word under each language."""
+    """The log-probability of each word under each language, over all segmentations of the whole word."""
     out = np.zeros((len(words), probs.shape[1]))
-    cut = [(i, p) for i, w in enumerate(words) for p in parts(w)]
-    cut.sort(key=lambda x: len(x[1]))
-    for at in range(0, len(cut), 2048):
-        rows, group = zip(*cut[at : at + 2048])
-        lengths, found = lattice.find(list(group))
-        alpha = forward(lengths, found, probs)
-        np.add.at(out, list(rows), np.log(np.maximum(alpha[lengths, np.arange(len(group))], 1e-300)))
+    for own, lengths, grid in groups([marked(w) for w in words]):
+        out[own] = forward(lengths, grid, lattice, probs)
     return out
 
 
 def fit(counts: dict[str, int], lattice: Lattice, n_pieces: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Piece probabilities of one language by expectation-maximisation over all segmentations of its counted words."""
-    cut: dict[str, int] = {}
-    for w, n in counts.items():
-        for p in parts(w):
-            cut[p] = cut.get(p, 0) + n
-    words = sorted(cut, key=len)
-    groups = []
-    for at in range(0, len(words), 4096):
-        lengths, found = lattice.find(words[at : at + 4096])
-        groups.append((lengths, found, np.array([cut[w] for w in words[at : at + 4096]], float)))
-    probs = np.full((n_pieces, 1), 1 / max(n_pieces, 1))
+    """Piece probabilities of one language by expectation-maximisation over all segmentations of its counted words, in
+    logarithms."""
+    words, times = [marked(w) for w in counts], np.array(list(counts.values()), float)
+    log_probs, log_floor = np.full(n_pieces, -math.log(max(n_pieces, 1))), math.log(FLOOR)
     for _ in range(rounds):
         expected = np.zeros(n_pieces)
-        for lengths, found, n in groups:
-            alpha = forward(lengths, found, probs)[:, :, 0]
-            width, rows = len(alpha) - 1, np.arange(len(lengths))
-            total = np.maximum(alpha[lengths, rows], 1e-300)
-            beta = np.zeros_like(alpha)
-            beta[lengths, rows] = 1
-            for i in range(width - 1, -1, -1):
-                beta[i] += beta[i + 1] * FLOOR
-                for k, piece in found.items():
-                    if i + k <= width:
-                        own = piece[:, i]
-                        some = np.flatnonzero(own >= 0)
-                        flow = beta[i + k, some] * probs[own[some], 0]
-                        np.add.at(expected, own[some], n[some] * alpha[i, some] * flow / total[some])
-                        beta[i, some] += flow
-        probs = ((expected + 0.01) / (expected + 0.01).sum())[:, None]
-    return probs[:, 0]
-
-
-def train(rows: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS) -> tuple[list[str], np.ndarray]:
+        for members, lengths, grid in groups(words):
+            n, width = grid.shape
+            alpha = np.full((width + 1, n), -np.inf)
+            alpha[0] = 0
+            for begin, end, low, found in lattice.segments(grid):
+                for i in range(begin + 1, end + 1):
+                    alpha[i] = alpha[i - 1] + log_floor
+                    for k, piece in found.items():
+                        if k <= i:
+                            own = piece[:, i - k - low]
+                            some = np.flatnonzero(own >= 0)
+                            alpha[i, some] = np.logaddexp(alpha[i, some], alpha[i - k, some] + log_probs[own[some]])
+            rows = np.arange(n)
+            total = alpha[lengths, rows]
+            beta = np.full_like(alpha, -np.inf)
+            beta[lengths, rows] = 0
+            for begin, end, low, found in lattice.segments(grid, backward=True):
+                for i in range(end, begin, -1):
+                    beta[i - 1] = np.logaddexp(beta[i - 1], beta[i] + log_floor)
+                    for k, piece in found.items():
+                        if k <= i:
+                            own = piece[:, i - k - low]
+                            some = np.flatnonzero((own >= 0) & (beta[i] > -np.inf))
+                            flow = beta[i, some] + log_probs[own[some]]
+                            np.add.at(expected, own[some], times[members][some] * np.exp(alpha[i - k, some] + flow - total[some]))
+                            beta[i - k, some] = np.logaddexp(beta[i - k, some], flow)
+        log_probs = np.log((expected + 0.01) / (expected + 0.01).sum())
+    return np.exp(log_probs)
+
+
+def train(rows: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """(languages, pieces x languages) from rows (doc_id, text, lang), of which about sample_rows a language are read
-    through, chosen by a hash of doc_id, and their sample_words most frequent words counted. Rows with a null text or lang
-    teach nothing; no such rows: no languages."""
+    through, chosen by a hash of doc_id, and all of their words counted. Rows with a null text or lang teach nothing; no
+    such rows: no languages."""
     rows = rows.where("text is not null and lang is not null").select(F.col("doc_id").cast("string").alias("doc"), "text", F.col("lang").cast("string").alias("lang"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
@@ -175,12 +207,13 @@ def train(rows: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_ROWS,
     part = rows.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
     words = part.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word"))
     counted = written(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
+    counts: dict[str, dict[str, int]] = {l: {} for l in langs}
+    for r in counted.orderBy("lang", "word").toLocalIterator():  # as many words as the sample's rows have
+        counts[r["lang"]][r["word"]] = r["n"]
+    discard(counted)
     pieces = vocabulary(vocabulary_path)
-    lattice, columns = Lattice(pieces), []
-    for l in langs:
-        own = counted.where(F.col("lang") == l).orderBy(F.desc("n"), "word").limit(sample_words).select("word", "n").collect()
-        columns.append(fit({r["word"]: r["n"] for r in own}, lattice, len(pieces)))
-    return langs, np.stack(columns, axis=1)
+    lattice = Lattice(pieces)
+    return langs, np.stack([fit(counts[l], lattice, len(pieces)) for l in langs], axis=1)
 
 
 def predict(docs: DataFrame, langs: list[str], probs: np.ndarray, vocabulary_path: str) -> DataFrame:

@@ -230,7 +230,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces with sequence_id and offset: as few sequences of at most capacity as the method finds, without gaps.
 
     pieces: rows with a long length, 1 to capacity. The driver sees only how many rows each length has. Rows of a length
-    are numbered within salts, so that a length of a third of all rows is sorted in many parts. An empty table gives none.
+    are numbered within salts, so that a length of a third of all rows is sorted in many parts, in the order of their columns:
+    the same rows get the same places however they are dealt out, and rows that are equal throughout are as good as each
+    other. An empty table gives none.
     Columns named sequence_id or offset are replaced; other columns stay.
     """
     pieces = written(pieces.drop("sequence_id", "offset"), "pieces")
@@ -242,7 +244,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in ("doc_id", "piece") if c in names] or names), F.lit(salts)))
     in_salt = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = in_salt.withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n")).drop("_n")
-    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(F.lit(0))).cast("long") - 1)
+    # By all columns, so that a task that runs again ranks its rows as before.
+    ranked_by = [f"`{f.name}`" for f in pieces.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*ranked_by)).cast("long") - 1)
     ranked = ranked.join(before, ["length", "_salt"]).select(*names, (F.col("_rank") + F.col("_before")).alias("_rank"))
     far = np.int64(1) << 44
     keys = table["length"] * far + table["lo"]

@@ -109,6 +109,13 @@ def test_reduction_keeps_an_optimum(seed):
     assert sum(n for n, _ in fixed) + (optimum(rest, capacity) if rest else 0) == optimum(items, capacity)
 
 
+def test_places_do_not_depend_on_how_rows_are_dealt_out(spark):
+    rows = [(i % 40, i % 3, 5 + i % 2, i) for i in range(300)] + [(7, 0, 5, 7)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, piece int, length long, x long")
+    one, two = (sorted(map(tuple, packing.pack(d, 20).collect())) for d in (df.repartition(2), df.orderBy(F.desc("x")).repartition(7)))
+    assert one == two
+
+
 def test_best_fit_is_best_fit():
     for seed in range(40):
         rnd = random.Random(seed)
@@ -171,6 +178,89 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(langid.log_scores([w], lattice, probs)[0], expected)
 
 
+def plain_log_score(word, column, vocab, probs):
+    """All segmentations, place by place, in exact fractions of two."""
+    import fractions
+
+    word, sums = "▁" + word, [fractions.Fraction(1)]
+    for i in range(1, len(word) + 1):
+        total = sums[-1] * fractions.Fraction(langid.FLOOR)
+        for p, x in zip(vocab, probs[:, column]):
+            if word[:i].endswith(p) and len(p) <= i:
+                total += sums[i - len(p)] * fractions.Fraction(float(x))
+        sums.append(total)
+    return np.log2(float(sums[-1].numerator >> max(0, sums[-1].numerator.bit_length() - 60))) + max(0, sums[-1].numerator.bit_length() - 60) - sums[-1].denominator.bit_length() + 1
+
+
+def test_long_words_are_scored_whole(monkeypatch):
+    vocab = ["a", "ab", "abc", "b", "bc", "c", "▁a", "▁ab"]
+    probs = np.random.default_rng(1).random((len(vocab), 2)) / 64
+    lattice, rnd = langid.Lattice(vocab), random.Random(4)
+    words = ["".join(rnd.choice("abcx") for _ in range(n)) for n in (1, 31, 32, 33, 60, 61, 500)]
+    got = langid.log_scores(words, lattice, probs) / np.log(2)
+    assert np.allclose(got, [[plain_log_score(w, k, vocab, probs) for k in (0, 1)] for w in words])
+    monkeypatch.setattr(langid, "SEGMENT", 17)
+    monkeypatch.setattr(langid, "RESCALE", 5)
+    assert np.allclose(langid.log_scores(words, lattice, probs) / np.log(2), got)
+    assert np.isfinite(langid.log_scores(["x" * 50_000], lattice, probs)).all()
+
+
+def test_fit_against_all_segmentations(monkeypatch):
+    """One round of expectation-maximisation, by counting the pieces of every segmentation."""
+    vocab, counts = ["a", "ab", "abc", "b", "bc", "c", "▁a", "▁ab"], {"abc": 3, "cab": 1, "ababc": 2, "x": 1}
+    expected = np.zeros(len(vocab))
+
+    def every(word):
+        if not word:
+            yield 1.0, []
+        else:
+            yield from ((langid.FLOOR * p, own) for p, own in every(word[1:]))
+            for i, piece in enumerate(vocab):
+                if word.startswith(piece):
+                    yield from ((p / len(vocab), [i, *own]) for p, own in every(word[len(piece) :]))
+
+    for word, n in counts.items():
+        found = list(every("▁" + word))
+        total = sum(p for p, _ in found)
+        for p, own in found:
+            for i in own:
+                expected[i] += n * p / total
+    expected = (expected + 0.01) / (expected + 0.01).sum()
+    assert np.allclose(langid.fit(counts, langid.Lattice(vocab), len(vocab), 1), expected)
+    monkeypatch.setattr(langid, "SEGMENT", 2)
+    assert np.allclose(langid.fit(counts, langid.Lattice(vocab), len(vocab), 1), expected)
+
+
+def test_predictions_are_the_most_probable_languages(spark):
+    """The query's model: a plain forward pass in logarithms over every word of every held-out text."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    path = langid.default_vocabulary()
+    langs, probs = langid.train(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1"), path)
+    place = {p: i for i, p in enumerate(langid.vocabulary(path))}
+    longest, scores = max(map(len, place)), {}
+
+    def score(word):
+        word, sums = "▁" + word, [np.zeros(len(langs))]
+        for i in range(1, len(word) + 1):
+            terms = [sums[-1] + np.log(langid.FLOOR)]
+            terms += [sums[i - k] + np.log(probs[place[word[i - k : i]]]) for k in range(1, min(i, longest) + 1) if word[i - k : i] in place]
+            sums.append(np.logaddexp.reduce(terms))
+        return sums[-1]
+
+    got = {r["doc_id"]: r for r in langid.query(spark, SF).where("held_out").collect()}
+    for r in docs.where("doc_id < 60").collect():
+        own = re.findall(r"[^\W\d_]+", (r["text"] or "").lower())
+        if r["doc_id"] not in got:
+            continue
+        if not own:
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        total = sum(scores.setdefault(w, score(w)) if w not in scores else scores[w] for w in own)
+        best = int(total.argmax())
+        assert got[r["doc_id"]]["lang_pred"] == langs[best]
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 / np.exp(total - total[best]).sum())
+
+
 # Pieces.
 
 
