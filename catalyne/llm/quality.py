@@ -12,12 +12,14 @@ from .common import written
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-ROUNDS = 50
-#: Limits of what a rule's rate of votes against good and against bad texts can become, and the share of good texts, so
-#: that rules never change sides.
-AGAINST_GOOD, AGAINST_BAD, PRIOR = (0.001, 0.03), (0.15, 0.95), (0.5, 0.95)
-#: Where these start.
-START = (0.02, 0.4, 0.85)
+#: Rounds of expectation-maximisation at most, and the change of every rate below which it ends.
+ROUNDS, CHANGE = 500, 1e-9
+#: What a rule is believed to do before any text is seen: the shares of its votes against, for and abstentions, on good and
+#: on bad texts, worth so many texts of each kind. This says which of the two kinds is called good, and smooths the rates; on
+#: a corpus of any size beyond that, the texts decide.
+PRIOR_GOOD, PRIOR_BAD, PRIOR_TEXTS = (0.02, 0.78, 0.2), (0.3, 0.5, 0.2), 100
+#: The share of good texts believed in before, worth as many texts.
+PRIOR_SHARE = 0.85
 KEEP = 0.5
 
 GOOD, BAD = 1, -1
@@ -36,111 +38,114 @@ def vote(good: Column, bad: Column) -> Column:
 def rules() -> list[tuple[str, Column]]:
     """(name, vote). A rule is one judgement on the features; thresholds leave a zone in which it abstains."""
     n = F.col("n_words")
+
+    def share(x: str, of: str, good: float, bad: float) -> Column:
+        return vote(ratio(x, of) < good, ratio(x, of) > bad)
+
     return [
         ("length", vote(n >= 60, n < 30)),
         ("word_length", vote(ratio("word_chars", "n_words").between(3, 10), ~ratio("word_chars", "n_words").between(2, 14))),
-        ("symbols", vote(ratio("n_symbols", "word_chars") < 0.02, ratio("n_symbols", "word_chars") > 0.08)),
+        ("symbols", share("n_symbols", "word_chars", 0.02, 0.08)),
         ("repeated_lines", vote((F.col("n_lines") >= 3) & (F.col("n_dup_lines") == 0), ratio("n_dup_lines", "n_lines") > 0.3)),
         ("repeated_words", vote((n >= 30) & (ratio("n_repeat_words", "n_words") < 0.15), ratio("n_repeat_words", "n_words") > 0.4)),
-        ("capitals", vote(ratio("n_upper", "n_letters") < 0.25, ratio("n_upper", "n_letters") > 0.6)),
-        ("digits", vote(ratio("n_digits", "word_chars") < 0.1, ratio("n_digits", "word_chars") > 0.3)),
+        ("capitals", share("n_upper", "n_letters", 0.25, 0.6)),
+        ("digits", share("n_digits", "word_chars", 0.1, 0.3)),
         ("letters", vote(ratio("n_letters", "word_chars") > 0.8, ratio("n_letters", "word_chars") < 0.75)),
         ("vocabulary", vote((n >= 50) & (ratio("n_distinct", "n_words") > 0.25), (n >= 50) & (ratio("n_distinct", "n_words") < 0.1))),
         ("ended_lines", vote(ratio("n_ended", "n_lines") > 0.5, (F.col("n_lines") >= 5) & (ratio("n_ended", "n_lines") < 0.1))),
-        ("shouts", vote(F.lit(False), ratio("n_shouts", "n_words") > 0.1)),
-        ("marked_words", vote(ratio("n_marked", "n_words") < 0.02, ratio("n_marked", "n_words") > 0.15)),
-        ("wordless", vote(ratio("n_wordless", "n_words") < 0.05, ratio("n_wordless", "n_words") > 0.15)),
+        ("shouts", share("n_shouts", "n_words", 0.02, 0.1)),
+        ("marked_words", share("n_marked", "n_words", 0.02, 0.15)),
+        ("wordless", share("n_wordless", "n_words", 0.05, 0.15)),
     ]
 
 
 def removed(text: Column, pattern: str) -> Column:
-    """How many characters match."""
+    """How many characters are in runs that match."""
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
+def words_with(text: Column, before: str, what: str) -> Column:
+    """How many words have what, after as many characters of before as there are; looked for at the starts of words alone."""
+    return F.regexp_count(text, F.lit(rf"(?<![^\x20\x09-\x0D]){before}*+{what}[^\x20\x09-\x0D]*+"))
+
+
 def features(docs: DataFrame) -> DataFrame:
     """(doc_id, the features as longs) of every whole text. A null text has no words and no lines.
 
-    Repeated three-word windows: a text's windows are hashed with their places and sorted, so that equal ones are
-    neighbours; the words that the repeated ones cover are then counted in order of place.
+    Repeated three-word windows: hashes of a text's windows that are all different settle most texts. Of the others,
+    windows are sorted by hash and place, so that equal ones are neighbours, and the words that the repeated ones cover are
+    counted in order of place.
     """
     t, k = F.col("t"), F.lit
     a = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), k("")).alias("t"))
     a = a.select("doc_id", "t", F.regexp_extract_all(t, k(WORD), k(0)).alias("w"), F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     n = F.size("w")
-    windows = F.when(n >= 3, F.transform(F.sequence(k(0), n - 3), lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("i"))))
+    windows = F.when(n >= 3, F.transform(F.sequence(k(0), n - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))).otherwise(F.array().cast("array<bigint>"))
     counts = {
         "n_words": n,
-        "word_chars": F.length(F.regexp_replace(t, SPACE, "")),
-        "n_symbols": removed(t, "[#*$%&|<>]"),
+        "word_chars": F.length(F.regexp_replace(t, SPACE + "+", "")),
+        "n_symbols": removed(t, "[#*$%&|<>]+"),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         "n_lines": F.size("lines"),
-        "n_upper": removed(t, r"\p{Lu}"),
-        "n_digits": removed(t, "[0-9]"),
-        "n_letters": removed(t, r"\p{L}"),
+        "n_upper": removed(t, r"\p{Lu}+"),
+        "n_digits": removed(t, "[0-9]+"),
+        "n_letters": removed(t, r"\p{L}+"),
         "n_distinct": F.size(F.array_distinct("w")),
         "n_ended": F.size(F.filter("lines", lambda x: x.rlike(r"[.!?:][\x20\x09-\x0D]*$"))),
-        "n_marked": F.size(F.filter("w", lambda x: x.rlike("[#*$%&|<>]"))),
-        "n_wordless": F.size(F.filter("w", lambda x: ~x.rlike(r"[\p{L}\p{N}]"))),
-        "n_shouts": F.size(F.filter("w", lambda x: x.rlike(r"!!|\?\?"))),
+        "n_marked": F.when(t.rlike("[#*$%&|<>]"), words_with(t, r"[^\x20\x09-\x0D#*$%&|<>]", "[#*$%&|<>]")).otherwise(0),
+        "n_wordless": F.regexp_count(t, k(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}\p{N}]++(?![^\x20\x09-\x0D])")),
+        "n_shouts": F.when(F.contains(t, k("!!")) | F.contains(t, k("??")), words_with(t, r"(?:(?!!!|\?\?)[^\x20\x09-\x0D])", r"(?:!!|\?\?)")).otherwise(0),
     }
-    b = a.select("doc_id", *[c.cast("long").alias(x) for x, c in counts.items()], F.sort_array(F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>"))).alias("s"))
+    b = a.select("doc_id", *[c.cast("long").alias(x) for x, c in counts.items()], windows.alias("h"))
+    some = F.size(F.array_distinct("h")) < F.size("h")
+    sorted_ = F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    c = b.select("doc_id", *counts, F.when(some, sorted_).alias("s"))
 
     def twin(x: Column, i: Column) -> Column:
-        return (x["h"] == F.get("s", i - 1)["h"]) | (x["h"] == F.get("s", i + 1)["h"])
+        return F.coalesce(x["h"] == F.get("s", i + 1)["h"], k(False)) | F.coalesce(x["h"] == F.get("s", i - 1)["h"], k(False))
 
-    places = F.filter("s", lambda x, i: F.coalesce(twin(x, i), (x["h"] == F.get("s", i + 1)["h"]), (x["h"] == F.get("s", i - 1)["h"]), k(False)))
-    c = b.select("doc_id", *counts, F.size("s").alias("n_s"), F.sort_array(F.transform(places, lambda x: x["i"])).alias("p"))
+    c = c.select("doc_id", *counts, F.when(F.col("s").isNotNull(), F.sort_array(F.transform(F.filter("s", twin), lambda x: x["i"]))).alias("p"))
     start = F.struct(k(-3).alias("last"), k(0).cast("long").alias("sum"))
     covered = F.aggregate("p", start, lambda acc, p: F.struct(p.alias("last"), (acc["sum"] + F.least(k(3), p - acc["last"])).alias("sum")), lambda acc: acc["sum"])
-    return c.select("doc_id", *counts, covered.alias("n_repeat_words")).select("doc_id", *FEATURES)
+    return c.select("doc_id", *counts, F.coalesce(covered, k(0).cast("long")).alias("n_repeat_words")).select("doc_id", *FEATURES)
+
 
+#: Where a vote stands in a rule's rates.
+SLOT = {BAD: 0, GOOD: 1, 0: 2}
+Rates = list[tuple[tuple[float, ...], tuple[float, ...]]]
 
-def estimate(patterns: list[tuple[list[int], int]], n_rules: int, rounds: int = ROUNDS) -> tuple[float, list[tuple[float, float]]]:
-    """(share of good texts, each rule's rates of votes against good and against bad texts) by expectation-maximisation over
-    vote patterns and their counts. A rule's accuracies on the two sides are its own; an abstention says nothing. No texts:
-    the starting values."""
-    prior, rates = START[2], [START[:2]] * n_rules
+
+def estimate(patterns: list[tuple[list[int], int]], n_rules: int, rounds: int = ROUNDS) -> tuple[float, Rates]:
+    """(share of good texts, each rule's rates of votes against, for and abstentions on good and on bad texts) by
+    expectation-maximisation over vote patterns and their counts. A rule's rates on the two kinds are its own, abstentions
+    included; given the kind of a text, rules vote by themselves. No texts: what is believed before."""
+    prior, rates = PRIOR_SHARE, [(PRIOR_GOOD, PRIOR_BAD)] * n_rules
     for _ in range(rounds):
         good = total = 0.0
-        sums = [[0.0] * 4 for _ in range(n_rules)]  # against good, on good, against bad, on bad
+        sums = [([PRIOR_TEXTS * x for x in PRIOR_GOOD], [PRIOR_TEXTS * x for x in PRIOR_BAD]) for _ in range(n_rules)]
+        log_odds, tables = start(prior), [weights(r) for r in rates]
         for votes, n in patterns:
-            p = posterior(votes, prior, rates)
+            p = 1 / (1 + math.exp(-max(-700.0, log_odds + sum(t[SLOT[v]] for t, v in zip(tables, votes)))))
             good, total = good + n * p, total + n
             for s, v in zip(sums, votes):
-                if v:
-                    s[1] += n * p
-                    s[3] += n * (1 - p)
-                    if v == BAD:
-                        s[0] += n * p
-                        s[2] += n * (1 - p)
-        if not total:
+                s[0][SLOT[v]] += n * p
+                s[1][SLOT[v]] += n * (1 - p)
+        after = [tuple(tuple(x / sum(side) for x in side) for side in s) for s in sums]
+        share = (good + PRIOR_TEXTS * PRIOR_SHARE) / (total + PRIOR_TEXTS)
+        moved = max([abs(share - prior), *(abs(x - y) for r, q in zip(rates, after) for a, b in zip(r, q) for x, y in zip(a, b))])
+        prior, rates = share, after
+        if moved < CHANGE:
             break
-        prior = clamp(good / total, PRIOR)
-        rates = [(clamp(s[0] / s[1], AGAINST_GOOD) if s[1] else r[0], clamp(s[2] / s[3], AGAINST_BAD) if s[3] else r[1]) for s, r in zip(sums, rates)]
     return prior, rates
 
 
-def clamp(x: float, limits: tuple[float, float]) -> float:
-    return min(max(x, limits[0]), limits[1])
-
-
-def weights(rates: tuple[float, float]) -> tuple[float, float]:
-    """What a vote for and a vote against add to the log-odds of a good text."""
-    good, bad = rates
-    return math.log((1 - good) / (1 - bad)), math.log(good / bad)
-
-
-def posterior(votes: list[int], prior: float, rates: list[tuple[float, float]]) -> float:
-    total = log_odds(prior)
-    for v, r in zip(votes, rates):
-        if v:
-            total += weights(r)[v == BAD]
-    return 1 / (1 + math.exp(-total))
+def weights(rates: tuple[tuple[float, ...], tuple[float, ...]]) -> list[float]:
+    """What a vote against, a vote for and an abstention add to the log-odds of a good text."""
+    return [math.log(good / bad) for good, bad in zip(*rates)]
 
 
-def log_odds(p: float) -> float:
-    return math.log(p / (1 - p))
+def start(prior: float) -> float:
+    return math.log(prior / (1 - prior))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -158,8 +163,8 @@ def judged(docs: DataFrame) -> DataFrame:
     patterns = sorted(([r["votes"] // 3**j % 3 - 1 for j in range(len(named))], r["n"]) for r in found)
     prior, rates = estimate(patterns, len(named))
     digit = [F.floor(F.col("votes") / F.lit(3**j)) % 3 - 1 for j in range(len(named))]
-    parts = [F.when(d == GOOD, weights(r)[0]).when(d == BAD, weights(r)[1]).otherwise(0.0) for d, r in zip(digit, rates)]
-    total = sum(parts, F.lit(log_odds(prior)))
+    parts = [F.when(d == GOOD, w[SLOT[GOOD]]).when(d == BAD, w[SLOT[BAD]]).otherwise(w[SLOT[0]]) for d, w in zip(digit, map(weights, rates))]
+    total = sum(parts, F.lit(start(prior)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = table.withColumn("base_failed", failed).withColumn("quality", 1 / (1 + F.exp(-total)))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP)).drop("votes")
