@@ -1,4 +1,4 @@
-"""License scans: ordered signature rules behind a keyword prefilter. Native."""
+"""License scans: ordered signature rules, hand-written, behind a keyword prefilter. Native."""
 
 from __future__ import annotations
 
@@ -8,113 +8,26 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What stands between words, and between words of a text whose A-Z aren't lowered yet.
+from .license_rules import table, triggers
+
+#: What stands between words of a text whose A-Z are lowered.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: The base phrases and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-#: Label, the ways to name the licence (a regular expression over lower-case words with one space between
-#: them), and texts of which every naming has one.
-FAMILIES = (
-    ("agpl-3.0", "(?:gnu )?(?:agpl|affero general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ("agpl", "affero general public")),
-    ("agpl", "(?:gnu )?(?:agpl|affero general public licen[cs]e)", ("agpl", "affero general public")),
-    ("lgpl-2.1", "(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: v| version)? ?2 1", ("lgpl", "lesser general public")),
-    ("lgpl-3.0", "(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ("lgpl", "lesser general public")),
-    ("lgpl", "(?:gnu )?(?:lgpl|(?:lesser|library) general public licen[cs]e)", ("lgpl", "lesser general public", "library general public")),
-    ("gpl-2.0", "(?:gnu )?(?:gpl|general public licen[cs]e)(?: v| version)? ?2(?: 0)?", ("gpl", "general public")),
-    ("gpl-3.0", "(?:gnu )?(?:gpl|general public licen[cs]e)(?: v| version)? ?3(?: 0)?", ("gpl", "general public")),
-    ("gpl", "(?:gnu )?(?:gpl|general public licen[cs]e)", ("gpl", "general public")),
-    ("apache-1.1", "apache(?: software)?(?: licen[cs]e)?(?: v| version)? ?1 1", ("apache",)),
-    ("apache-2", "apache(?: software)?(?: licen[cs]e)?(?: v| version)? ?2(?: 0)?", ("apache",)),
-    ("apache", "apache(?: software)?", ("apache",)),
-    ("bsd-2-clause", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)", ("bsd",)),
-    ("bsd-3-clause", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)", ("bsd",)),
-    ("bsd-4-clause", "(?:original bsd|bsd 4 clause|4 clause bsd)", ("bsd",)),
-    ("bsd", "bsd", ("bsd",)),
-    ("mit-0", "mit no attribution", ("mit no attribution",)),
-    ("mit", "(?:mit|expat)(?: x11)?", (" mit ", " expat ", " mit x11")),
-    ("isc", "isc", ("isc",)),
-    ("mpl-1.1", "(?:mpl|mozilla public licen[cs]e)(?: v| version)? ?1 1", ("mpl", "mozilla public")),
-    ("mpl-2.0", "(?:mpl|mozilla public licen[cs]e)(?: v| version)? ?2(?: 0)?", ("mpl", "mozilla public")),
-    ("mpl", "(?:mpl|mozilla public licen[cs]e)", ("mpl", "mozilla public")),
-    ("epl-1.0", "(?:epl|eclipse public licen[cs]e)(?: v| version)? ?1(?: 0)?", ("epl", "eclipse public")),
-    ("epl-2.0", "(?:epl|eclipse public licen[cs]e)(?: v| version)? ?2(?: 0)?", ("epl", "eclipse public")),
-    ("edl-1.0", "eclipse distribution licen[cs]e(?: v| version)? ?1(?: 0)?", ("eclipse distribution",)),
-    ("cddl-1.0", "(?:cddl|common development and distribution licen[cs]e)(?: v| version)? ?1?(?: 0)?", ("cddl", "common development and distribution")),
-    ("cpl-1.0", "common public licen[cs]e(?: v| version)? ?1?(?: 0)?", ("common public",)),
-    ("artistic-2.0", "artistic licen[cs]e(?: v| version)? ?2(?: 0)?", ("artistic",)),
-    ("artistic-1.0", "artistic", ("artistic",)),
-    ("zlib", "zlib(?: libpng)?", ("zlib",)),
-    ("boost-1.0", "(?:boost software|bsl 1 0)", ("boost software", "bsl 1 0")),
-    ("unlicense", "unlicen[cs]e", ("unlicen",)),
-    ("wtfpl", "wtfpl", ("wtfpl",)),
-    ("cc0-1.0", "(?:cc0(?: 1 0)?|creative commons zero)", ("cc0", "creative commons zero")),
-    ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s?)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
-    ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
-    ("cc-by-nc", "(?:cc by nc|creative commons attribution non ?commercial)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
-    ("cc-by-nd", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s?)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
-    ("cc-by-sa", "(?:cc by sa|creative commons attribution share ?alike)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
-    ("cc-by", "(?:cc by|creative commons attribution)(?: [1-4] 0)?", ("cc by", "creative commons attribution")),
-    ("odbl-1.0", "(?:odbl|open database licen[cs]e)(?: v| version)?(?: 1 0)?", ("odbl", "open database")),
-    ("odc-by-1.0", "(?:odc by|open data commons attribution)(?: 1 0)?", ("odc by", "open data commons")),
-    ("pddl-1.0", "(?:pddl|public domain dedication and licen[cs]e)(?: 1 0)?", ("pddl", "public domain dedication")),
-    ("ofl-1.1", "(?:sil )?(?:ofl|open font licen[cs]e)(?: v| version)?(?: 1 1)?", ("ofl", "open font")),
-    ("gfdl-1.3", "(?:gnu )?(?:gfdl|free documentation licen[cs]e)(?: v| version)?(?: 1 3)?", ("gfdl", "free documentation")),
-    ("psf-2.0", "(?:psf|python software foundation)(?: licen[cs]e)?(?: v| version)?(?: 2(?: 0)?)?", (" psf ", "python software foundation", " psf 2")),
-    ("php-3.01", "php licen[cs]e(?: v| version)?(?: 3 0?1)?", ("php licen",)),
-    ("ruby", "ruby", ("ruby",)),
-    ("postgresql", "postgre(?:s|sql)", ("postgre",)),
-    ("ms-pl", "(?:ms pl|microsoft public licen[cs]e)", ("ms pl", "microsoft public")),
-    ("eupl-1.2", "(?:eupl|european union public licen[cs]e)(?: v| version)?(?: 1 2)?", ("eupl", "european union public")),
-    ("openssl", "openssl", ("openssl",)),
-    ("x11", "x11", ("x11",)),
-)
-
-#: How a text speaks of a licence ({} is the name), the rank of such a rule, and groups of texts; of each
-#: group, every place has one.
-TEMPLATES = (
-    ("spdx license identifier {}(?: only| or later)?", 5, (("spdx license identifier",),)),
-    ("(?:licen[cs]ed|released|distributed|available|provided|published|made available) under (?:the |an? )?(?:terms of )?(?:the |an? )?{}(?: licen[cs]e)?", 4, ((" under ",), (" licen", " released ", " distributed ", " available ", " provided ", " published "))),
-    ("(?:subject to|governed by|covered by|terms of|permitted by) (?:the )?{}(?: licen[cs]e)?", 3, ((" subject to ", " governed by ", " covered by ", " terms of ", " permitted by "),)),
-    ("under (?:the )?{} licen[cs]e", 3, ((" under ",), (" licen",))),
-    ("{} licen[cs]e(?: agreement| text| notice)?", 2, ((" licen",),)),
-    ("licen[cs]e(?: is| type)? {}", 1, ((" licen",),)),
-)
-
-#: Rules of their own: label, expression, keyword, rank.
-SINGLE = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted", 5),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use copy", 5),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use", 5),
-    ("bsd-3-clause", "neither the name of .{1,80}? nor the names of its contributors may be used", "neither the name of", 5),
-    ("gpl", "this program is free software you can redistribute it and or modify it", "free software", 4),
-    ("gpl", "you should have received a copy of the gnu general public licen[cs]e", "you should have received", 5),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered", 5),
-    ("public-domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", "public domain", 3),
-    ("zlib", "this software is provided as is without any express or implied warranty", "as is", 4),
-    ("wtfpl", "do what the fuck you want to public licen[cs]e", "do what", 5),
-    ("proprietary", "all rights reserved", "all rights reserved", 1),
-    ("proprietary", "(?:proprietary and confidential|confidential and proprietary)", "proprietary", 3),
-    ("proprietary", "may not be (?:copied|reproduced|redistributed)(?: or \\w+)* without (?:the )?(?:prior |express )*(?:written )?permission", "may not be", 3),
-    ("apache-2", "you may not use this file except in compliance with the licen[cs]e", "except in compliance", 5),
-)
-
 RANKS = 5
-#: Every rule and base phrase but the one below holds one of these.
-PREFILTER = ("licen", "under", "subject", "governed", "covered", "permitted", "terms", "permission", "redistribution", "neither", "software", "received", "unencumbered", "domain", "provided", "rights", "propriet", "copied", "reproduced", "redistributed", "compliance")
-PREFILTER_CC = "cc" + GAP + "by"
 #: The one character beyond ASCII that lower-casing would turn into an ASCII letter by itself, and one that stays a letter.
 KELVIN, KRA = "\u212a", "\u0138"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """words: texts of which every place has one."""
+    """keywords: texts of which every place has one; words: whole words of which every place has one."""
 
     label: str
     regex: str
+    keywords: tuple[str, ...]
     words: tuple[str, ...]
     rank: int
 
@@ -124,55 +37,61 @@ def whole(regex: str) -> str:
     return f"(?<= )(?:{regex})(?= )"
 
 
-def rule_groups() -> list[tuple[tuple[tuple[str, ...], ...], list[Rule]]]:
-    """(gates, rules): every licence in each manner of speech, and the single rules; some three hundred rules."""
-    made = [(gates, [Rule(label, whole(t.format(f"(?:{name})")), words, rank) for label, name, words in FAMILIES]) for t, rank, gates in TEMPLATES]
-    return [*made, ((), [Rule(label, whole(r), (word,), rank) for label, r, word, rank in SINGLE])]
+def signature_rules() -> list[Rule]:
+    return [Rule(label, whole(expression), keywords, tuple(dict.fromkeys(w for k in keywords for w in triggers(k))), rank) for label, rank, keywords, expression in table()]
 
 
-def signature_rules() -> list[Rule]:
-    return [r for _, rules in rule_groups() for r in rules]
+def prefilter() -> list[str]:
+    """Whole words: a text without any of them has no place of any rule or base phrase."""
+    return sorted({w for r in signature_rules() for w in r.words} | {"mit", "apache", "cc"})
 
 
 def spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def any_in(norm: Column, words: tuple[str, ...]) -> Column:
-    out = F.lit(False)
-    for w in words:
-        out = F.contains(norm, F.lit(w)) | out
-    return out
+PLACES = "array<struct<start:int,stop:int,rank:int,label:string>>"
+#: Places of a rule whose starts are added up together.
+TOGETHER = 64
 
 
-PLACES = "array<struct<start:int,stop:int,rank:int,label:string>>"
+def places(r: Column) -> Column:
+    """The places of a rule, from its matches and the text between them, as structs (start, minus end, minus rank, label).
+    Lengths are added up within blocks and over blocks, so that many matches cost little more than their number."""
+    hits = r["hits"]
+    pairs = F.arrays_zip(F.transform(hits, F.length).alias("hit"), F.transform(F.slice(r["parts"], F.lit(1), F.size(hits)), F.length).alias("gap"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / TOGETHER).cast("int")), lambda b: F.slice(pairs, b * TOGETHER + 1, F.lit(TOGETHER)))
+    totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda at, x: at + x["hit"] + x["gap"]))
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    begins = F.aggregate(totals, nothing, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["gap"]
+        one = F.struct(begin.alias("start"), (-(begin + x["hit"])).alias("stop"), (-r["rank"]).alias("rank"), r["label"].alias("label"))
+        return F.struct((begin + x["hit"]).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
+    def within(block: Column, begin: Column) -> Column:
+        return F.aggregate(block, F.struct(begin.alias("at"), F.array().cast(PLACES).alias("out")), step, lambda acc: acc["out"])
 
-def detections(norm: Column) -> Column:
-    """All places of all rules, as structs (start, minus end, minus rank, label). A group's rules are looked at behind its
-    gates, a rule's expression behind its words, and its places only where it matches."""
+    return F.flatten(F.zip_with(blocks, begins, within))
 
-    def places(r: Column) -> Column:
-        hits = F.regexp_extract_all(norm, r["regex"], F.lit(0))
-        pairs = F.arrays_zip(F.transform(hits, F.length).alias("hit"), F.transform(F.slice(F.split(norm, r["regex"]), F.lit(1), F.size(hits)), F.length).alias("gap"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("out"))
 
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + x["gap"]
-            one = F.struct(begin.alias("start"), (-(begin + x["hit"])).alias("stop"), (-r["rank"]).alias("rank"), r["label"].alias("label"))
-            return F.struct((begin + x["hit"]).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+def met(norm: str, present: str) -> Column:
+    """Of the rules that match, the label, the rank, the matches and the text between them. A rule's expression is a
+    literal, compiled once, and looked at behind its words among those present and its keywords. In SQL, which takes many
+    columns at once."""
+    each = []
+    for r in signature_rules():
+        here = " OR ".join(f"array_contains({present}, '{w}')" for w in r.words)
+        gate = " OR ".join(f"contains({norm}, '{k}')" for k in r.keywords)
+        found = f"named_struct('label', '{r.label}', 'rank', {r.rank}, 'hits', regexp_extract_all({norm}, '{r.regex}', 0), 'parts', split({norm}, '{r.regex}'))"
+        each.append(f"CASE WHEN ({here}) AND ({gate}) AND rlike({norm}, '{r.regex}') THEN {found} END")
+    return F.expr(f"array_compact(array({', '.join(each)}))")
 
-        return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
-    groups = []
-    for gates, rules in rule_groups():
-        table = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.regex).alias("regex"), F.array(*map(F.lit, r.words)).alias("words"), F.lit(r.rank).alias("rank")) for r in rules])
-        gate = F.lit(True)
-        for words in gates:
-            gate = gate & any_in(norm, words)
-        met = F.filter(table, lambda r: F.exists(r["words"], lambda w: F.contains(norm, w)) & F.rlike(norm, r["regex"]))
-        groups.append(F.when(gate, F.flatten(F.transform(met, places))).otherwise(F.array().cast(PLACES)))
-    return F.sort_array(F.flatten(F.array(*groups)))
+def detections(found: Column) -> Column:
+    """All places of the rules that match, in order of their start, longer ones first."""
+    return F.sort_array(F.flatten(F.transform(found, places)))
 
 
 def survivors(found: Column) -> Column:
@@ -198,19 +117,20 @@ def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row of docs (doc_id, text).
 
     Words: A-Z lowered, cut at ASCII characters that are neither letters nor digits. Base phrases count wherever their words
-    stand in a row. Signature rules run over the words, joined by one space, of texts that the prefilter lets through, each
-    behind words of its own. score: 1 with a base phrase, else the highest rank among the standing places out of 5, 0 without
+    stand in a row. Signature rules run over the words, joined by one space, of texts that have a word of the prefilter, each
+    behind words and keywords of its own. score: 1 with a base phrase, else the highest rank among the standing places out of 5, 0 without
     any. Null and empty texts have no words and empty labels; an empty table gives no rows; other columns are ignored.
     """
-    text, low, norm = F.col("text"), F.col("low"), F.col("norm")
+    text, norm = F.col("text"), F.col("norm")
     a = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # Beyond ASCII, lower-casing changes words but makes none that a rule knows.
-    a = a.select("doc_id", F.size(F.array_remove(F.split(text, GAP_ANY_CASE), "")).cast("long").alias("n_words"), F.lower(F.replace(text, F.lit(KELVIN), F.lit(KRA))).alias("low"))
-    gate = any_in(low, PREFILTER) | (F.contains(low, F.lit("cc")) & low.rlike(PREFILTER_CC))
-    a = a.select("doc_id", "n_words", F.when(gate, F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), GAP, " ")).alias("norm"))
+    a = a.select("doc_id", F.array_remove(F.split(F.lower(F.replace(text, F.lit(KELVIN), F.lit(KRA))), GAP), "").alias("words"))
+    every_word = F.array(*map(F.lit, prefilter()))
+    a = a.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(F.arrays_overlap("words", every_word), F.array_intersect("words", every_word)).alias("present"),
+                 F.when(F.arrays_overlap("words", every_word), F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))).alias("norm"))
     pieces = [F.when(F.contains(norm, F.lit(f" {p} ")), F.split(norm, f"(?<= ){re.escape(p).replace(chr(92) + ' ', ' ')}(?= )")).alias(f"p{i}") for i, (p, _) in enumerate(BASE)]
-    found = F.when(norm.isNotNull(), detections(norm)).alias("found")
-    b = a.select("doc_id", "n_words", "norm", *pieces, found)
+    b = a.select("doc_id", "n_words", "norm", *pieces, F.when(norm.isNotNull(), met("norm", "present")).alias("met"))
+    b = b.select("doc_id", "n_words", "norm", *[f"p{i}" for i in range(len(BASE))], F.when(F.size("met") > 0, detections(F.col("met"))).alias("found"))
     counts = [F.when(F.col(f"p{i}").isNotNull(), F.size(f"p{i}") - 1).otherwise(0) for i in range(len(BASE))]
     firsts = [F.when(c > 0, spaces(F.get(f"p{i}", F.lit(0))) - 1) for i, c in enumerate(counts)]
     # Before the last place stand all spaces but those of the phrase and of what follows.

@@ -83,7 +83,7 @@ def features(docs: DataFrame) -> DataFrame:
     windows = F.when(n >= 3, F.transform(F.sequence(k(0), n - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))).otherwise(F.array().cast("array<bigint>"))
     counts = {
         "n_words": n,
-        "word_chars": F.length(F.regexp_replace(t, SPACE + "+", "")),
+        "word_chars": F.length(F.array_join("w", "")),
         "n_symbols": removed(t, "[#*$%&|<>]+"),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         "n_lines": F.size("lines"),

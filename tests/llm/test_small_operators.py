@@ -571,20 +571,87 @@ def test_licenses_against_brute_force(spark, corpus):
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
-def test_prefilter_covers_every_rule():
-    """Each manner of speech and each single rule holds a word of the prefilter, whatever the licence's name."""
+def samples(expression, rnd):
+    """A text that an expression matches, of its many."""
+    parsed = re._parser.parse(expression)
+
+    def made(items):
+        out = ""
+        for op, x in items:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(x)
+            elif op == "IN":
+                kind, value = x[0]
+                out += chr(value if str(kind) == "LITERAL" else value[0])
+            elif op == "BRANCH":
+                out += made(rnd.choice(x[1]))
+            elif op == "SUBPATTERN":
+                out += made(x[3])
+            elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+                out += "".join(made(x[2]) for _ in range(rnd.randint(x[0], min(int(x[1]), x[0] + 1))))
+            elif op == "ANY":
+                out += "x"
+            else:
+                assert op == "ASSERT", op
+        return out
+
+    return made(parsed)
 
-    def passes(x):
-        return any(w in x for w in licenses.PREFILTER) or re.search(licenses.PREFILTER_CC, x)
 
-    for t, _, _ in licenses.TEMPLATES:
-        fixed = re.sub(r"\(\?:[^()]*(\([^()]*\)[^()]*)*\)\?", " ", t.replace("[cs]", "c")).format("x")
-        options = re.search(r"\(\?:([a-z |]+)\)", fixed)
-        assert passes(fixed) or all(passes(o) for o in options[1].split("|")), t
+def test_prefilter_and_keywords_cover_every_rule():
+    rnd, words_of_all = random.Random(9), set(licenses.prefilter())
+    for r in licenses.signature_rules():
+        for _ in range(150):
+            core = samples(r.regex, rnd)
+            assert re.search(r.regex, f" {core} ") and any(k in core for k in r.keywords) and set(core.split()) & set(r.words) and set(r.words) <= words_of_all, (r, core)
     for phrase, _ in licenses.BASE:
-        assert passes(phrase) and passes(phrase.replace(" ", "-"))
-    for _, expression, _, _ in licenses.SINGLE:
-        assert passes(re.sub(r"\(\?:[^()]*\)\?", " ", expression.replace("[cs]", "c"))), expression
+        assert set(phrase.split()) & words_of_all
+
+
+def test_every_rule_is_found_in_its_own_texts(spark):
+    """Texts made of each rule's expression, in capitals and with punctuation, have its label or that of a rule that holds it."""
+    rnd, rules = random.Random(8), licenses.signature_rules()
+    assert len(rules) >= 300 and len({r.regex for r in rules}) == len(rules)
+    texts, owners = [], []
+    for r in rules:
+        for _ in range(3):
+            core = samples(r.regex, rnd)
+            texts.append(f"Xxx. {core.upper().replace(' ', rnd.choice([' ', '-', chr(10)]))}, yyy")
+            owners.append(r)
+    got = {r["doc_id"]: r for r in licenses.scan(documents(spark, texts)).collect()}
+    for i, (t, r) in enumerate(zip(texts, owners)):
+        assert tuple(got[i])[1:] == brute_licenses(t, rules), t
+        assert got[i]["labels"] and got[i]["score"] >= r.rank / licenses.RANKS, t
+
+
+NOTICES = {
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.": "apache-2",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "gpl,gpl-3.0",
+    "// SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl-2.1",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file": "mpl-2.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "cc-by-nc-sa",
+    "https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa", "released into the public domain": "public-domain", "Distributed under the Boost Software License, Version 1.0.": "boost-1.0",
+    "THE SOFTWARE IS PROVIDED \"AS IS\"": "", "Unauthorized copying of this file, via any medium, is strictly prohibited": "proprietary", "a kind word about the weather": "",
+}
+
+
+def test_notices(spark):
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(documents(spark, list(NOTICES))).collect()}
+    assert list(NOTICES.values()) == [got[i] for i in range(len(NOTICES))]
+
+
+def test_many_places_take_time_in_proportion(spark):
+    import time
+
+    times = []
+    for n in (2_000, 16_000):
+        docs = documents(spark, ["apache license 2.0, gpl-3.0; mit license cc-by-nc-4.0. " * n])
+        began = time.perf_counter()
+        (row,) = licenses.scan(docs).collect()
+        times.append(time.perf_counter() - began)
+        assert row["labels"] == "apache-2,cc-by-nc,gpl-3.0,mit" and row["n_base"] == n
+    assert times[1] < 24 * times[0] + 2
 
 
 # Quality.
