@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: Rows handed to Python at once. Texts can be long, so that a batch stays within some tens of MB.
 BATCH_ROWS = 512
 
+#: Stored bytes of a bucket, and the most buckets that a table can have.
+BUCKET_BYTES, MOST_BUCKETS = 64 << 20, 100_000
+
 _own_dir: str | None = None
 
 
@@ -43,6 +46,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The same rows as a table in the shared folder, dealt into buckets by keys and sorted by them: joins on all of the
+    keys read it without another shuffle or sort. Buckets hold some BUCKET_BYTES of the input as it is stored."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES)))
+    table = f"catalyne_{name}_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{table}"
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("compression", "zstd").option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out._scratch_path, out._scratch_table = path, table
+    release(spark)
+    return out
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove the shuffle files of plans that nobody holds any more."""
     gc.collect()
@@ -52,6 +70,8 @@ def release(spark: SparkSession) -> None:
 def discard(*tables: DataFrame) -> None:
     """Deletes tables made by written() that no later plan reads."""
     for t in tables:
+        if table := getattr(t, "_scratch_table", None):
+            t.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
         if path := getattr(t, "_scratch_path", None):
             jvm = t.sparkSession.sparkContext._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)

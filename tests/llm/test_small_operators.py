@@ -513,14 +513,14 @@ def brute_substring(rows, window):
     return out
 
 
-@pytest.mark.parametrize("window", [7, 8, 50])
+@pytest.mark.parametrize("window", [7, 8, 24, 27, 50])
 def test_substrings_against_brute_force(spark, corpus, window):
     rnd = random.Random(window)
     passage = " ".join(f"w{i}" for i in range(window + 15))
     made = [" ".join(rnd.choice("ab") for _ in range(rnd.randint(0, 60))) for _ in range(60)]
     made += [f"{rnd.random()} {passage} {rnd.random()}" for _ in range(20)] + [passage, passage, passage + " " + passage, passage[: len(passage) // 2]]
     texts = [*corpus[:60], *made, *ODD]
-    docs = documents(spark, texts, n_words="x", tkey=1, spans=2, kept=3)
+    docs = documents(spark, texts, n_words="x", tkey=1, spans=2, kept=3, a=4, m="y")
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256((r["kept"] or "").encode()).hexdigest()) for r in substring.dedup_substrings(docs, window).collect()}
     assert got == brute_substring(list(enumerate(texts)), window)
 
