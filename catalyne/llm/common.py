@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 #: Rows handed to Python at once. Texts can be long, so that a batch stays within some tens of MB.
 BATCH_ROWS = 512
 
-#: Stored bytes of a bucket, and the most buckets that a table can have.
-BUCKET_BYTES, MOST_BUCKETS = 64 << 20, 100_000
+#: Stored bytes of a bucket, the most buckets that a table can have, and a size that says that the planner knows of none.
+BUCKET_BYTES, MOST_BUCKETS, UNKNOWN_BYTES = 64 << 20, 100_000, 1 << 60
 
 _own_dir: str | None = None
 
@@ -51,6 +51,7 @@ def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     keys read it without another shuffle or sort. Buckets hold some BUCKET_BYTES of the input as it is stored."""
     spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size *= size < UNKNOWN_BYTES
     n = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES)))
     table = f"catalyne_{name}_{uuid.uuid4().hex}"
     path = f"{scratch_dir(spark)}/{table}"
