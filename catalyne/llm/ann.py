@@ -12,16 +12,15 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Different vectors of a shard, about; a graph is built and held by one task.
-SHARD = 4096
+#: Different vectors of a shard, about; a graph is built and held by one task. Every query is searched for in every shard,
+#: so that larger shards, as far as memory goes, save work.
+SHARD = 8192
 #: Out-degree, beam of the build, and the factor by which a nearer neighbour must be nearer to prune an edge.
 DEGREE, BUILD_BEAM, ALPHA = 32, 48, 1.2
 #: Beam of the search.
-BEAM = 96
+BEAM = 128
 #: Points that are inserted, and queries that are searched, at once.
 BATCH = 256
-#: Queries that are held by a task at once.
-QUERY_BLOCK = 20_000
 
 
 def beam_search(vectors: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -40,7 +39,7 @@ def beam_search(vectors: np.ndarray, graph: np.ndarray, entry: int, queries: np.
         done[open_, at] = True
         nxt = graph[ids[open_, at]]
         fresh = (nxt >= 0) & ~seen[open_[:, None], nxt]
-        d = 1 - np.einsum("qkd,qd->qk", vectors[nxt], queries[open_])
+        d = 1 - (vectors[nxt] @ queries[open_][:, :, None])[:, :, 0]
         d = np.where(fresh, d, np.inf).astype(np.float32)
         seen[np.broadcast_to(open_[:, None], nxt.shape)[fresh], nxt[fresh]] = True
         all_d = np.concatenate([dist[open_], d], axis=1)
@@ -59,8 +58,8 @@ def robust_prune(vectors: np.ndarray, points: np.ndarray, cand: np.ndarray, degr
     cand = -np.sort(-cand, axis=1)
     cand[:, 1:][cand[:, 1:] == cand[:, :-1]] = -1
     c = vectors[cand]
-    d = np.where(cand >= 0, 1 - np.einsum("pcd,pd->pc", c, vectors[points]), np.inf)
-    among = 1 - np.einsum("pcd,ped->pce", c, c)
+    d = np.where(cand >= 0, 1 - (c @ vectors[points][:, :, None])[:, :, 0], np.inf)
+    among = 1 - c @ c.transpose(0, 2, 1)
     out, rows = np.full((len(points), degree), -1), np.arange(len(points))
     for k in range(degree):
         at = np.argmin(d, axis=1)
@@ -140,50 +139,65 @@ def graphs(vectors: DataFrame, keep: int, shard: int = SHARD) -> DataFrame:
     return written(dealt.groupBy("shard", "dim").applyInPandas(one, kind), "graphs")
 
 
-def search_shard(rows: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int) -> pd.DataFrame:
-    """The k nearest of each query in one shard: the beam's members, ranked anew by the cosine in double precision."""
-    empty = pd.DataFrame({"query_id": np.array([], np.int64), "vec_id": np.array([], np.int64), "score": np.array([], float)})
-    if not len(rows) or not len(queries):
-        return empty
-    rows = rows.sort_values("node")
-    exact = np.stack(rows["embedding"])
-    vectors, graph, entry = units(exact), np.stack(rows["neighbours"]), int(rows["entry"].iloc[0])
-    norms, ids = np.sqrt((exact * exact).sum(axis=1)), rows["ids"].to_numpy()
-    out = []
-    for at in range(0, len(queries), BATCH):
-        part = queries.iloc[at : at + BATCH]
-        asked = np.stack(part["embedding"])
-        found, _, _ = beam_search(vectors, graph, entry, units(asked), beam)
-        score = np.einsum("qkd,qd->qk", exact[found], asked) / (norms[found] * np.sqrt((asked * asked).sum(axis=1))[:, None])
-        score = np.where(found >= 0, score, -np.inf)
-        for i, own in enumerate(part["query_id"].to_numpy()):
-            got: list[tuple[float, int]] = []
-            for j in np.argsort(-score[i], kind="stable"):
-                if found[i, j] < 0 or (len(got) >= k and score[i, j] < sorted(got)[k - 1][0] * -1):
-                    break
-                got += [(-score[i, j], v) for v in ids[found[i, j]] if v != own]
-            out += [(own, v, -s) for s, v in sorted(got)[:k]]
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": float}) if out else empty
+class Shard:
+    """A shard's graph, held for many queries."""
+
+    def __init__(self, rows: pd.DataFrame):
+        rows = rows.sort_values("node")
+        self.exact = np.stack(rows["embedding"])
+        self.vectors, self.graph, self.entry = units(self.exact), np.stack(rows["neighbours"]), int(rows["entry"].iloc[0])
+        self.norms, self.ids = np.sqrt((self.exact * self.exact).sum(axis=1)), rows["ids"].to_numpy()
+
+    def search(self, queries: pd.DataFrame, k: int, beam: int) -> pd.DataFrame:
+        """The k nearest of each query: the beam's members, ranked anew by the cosine in double precision."""
+        out = []
+        for at in range(0, len(queries), BATCH):
+            part = queries.iloc[at : at + BATCH]
+            asked = np.stack(part["embedding"])
+            found, _, _ = beam_search(self.vectors, self.graph, self.entry, units(asked), beam)
+            score = np.einsum("qkd,qd->qk", self.exact[found], asked) / (self.norms[found] * np.sqrt((asked * asked).sum(axis=1))[:, None])
+            score = np.where(found >= 0, score, -np.inf)
+            for i, own in enumerate(part["query_id"].to_numpy()):
+                got: list[tuple[float, int]] = []
+                for j in np.argsort(-score[i], kind="stable"):
+                    if found[i, j] < 0 or (len(got) >= k and score[i, j] < sorted(got)[k - 1][0] * -1):
+                        break
+                    got += [(-score[i, j], v) for v in self.ids[found[i, j]] if v != own]
+                out += [(own, v, -s) for s, v in sorted(got)[:k]]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": float})
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHARD, beam: int = BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score): the k vectors of each query with the largest cosine that the graphs find, nearest
-    first, ties to the smaller vec_id; a query isn't its own neighbour.
+    first, ties to the smaller vec_id; a query isn't its own neighbour. Scores are equal if they are so to the last bit.
 
-    vectors, queries: (vec_id, embedding). Every vector is in the graph of one shard, every shard is asked, in blocks of
-    queries. Vectors with a null id, null, zero or with null or non-finite components take no part, on either side; vectors
-    of different lengths aren't compared; repeated rows count once. Fewer vectors than k: all of them. An empty table gives
-    no rows; other columns are ignored.
+    vectors, queries: (vec_id, embedding). Every vector is in the graph of one shard and every shard is asked: a task reads
+    a shard's graph, then any number of queries, some hundred at a time. Vectors with a null id, null, zero or with null or
+    non-finite components take no part, on either side; vectors of different lengths aren't compared; repeated rows count
+    once. Fewer vectors than k: all of them. An empty table gives no rows; other columns are ignored.
     """
     graph = graphs(usable(vectors).distinct(), k + 1, shard)
-    shards = graph.select(F.col("shard").alias("to_shard"), F.col("dim").alias("to_dim")).distinct()
-    asked = usable(queries).distinct().select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("to_dim"))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    found = None
-    for block in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).join(shards, "to_dim")
-        hits = graph.groupBy("shard", "dim").cogroup(part.groupBy("to_shard", "to_dim")).applyInPandas(lambda a, b: search_shard(a, b, k, beam), "query_id long, vec_id long, score double")
-        found = hits if found is None else found.unionByName(hits)
+    shards = graph.select("shard", "dim").distinct()
+    asked = usable(queries).distinct().select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("dim")).join(shards, "dim")
+    held = graph.select("shard", "dim", F.lit(0).alias("kind"), "node", "entry", "ids", "embedding", "neighbours", F.lit(None).cast("long").alias("query_id"))
+    both = held.unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    n = max(1, shards.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, index = None, [], None
+        for b in batches:
+            for (*own, kind), part in b.to_pandas().groupby(["shard", "dim", "kind"], sort=True):
+                if own != key:
+                    key, rows, index = own, [], None
+                if kind == 0:
+                    rows.append(part)
+                    continue
+                if index is None:
+                    index, rows = Shard(pd.concat(rows)), []
+                yield pa.RecordBatch.from_pandas(index.search(part, k, beam), preserve_index=False)
+
+    dealt = both.repartition(n, "shard", "dim").sortWithinPartitions("shard", "dim", "kind")
+    found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

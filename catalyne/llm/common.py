@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows handed to Python at once. Texts can be long, so that a batch stays within some tens of MB.
@@ -118,3 +118,13 @@ def components(edges: DataFrame) -> DataFrame:
         if same == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = same
+
+
+def one_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """docs, with one row of every group: that of the smallest doc_id, and of rows that repeat it the smallest by all
+    columns that have an order, so that any run keeps the same. Rows with a null doc_id stay. groups: (doc_id, component_id)."""
+    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
+    order = [f"`{f.name}`" for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
+    return kept.withColumn("_first", first).where("_first = 1").select(docs.columns).unionByName(docs.where("doc_id is null"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, small_batches, written
+from .common import components, one_each, small_batches, written
 
 #: Most fingerprints of a bucket that one comparison takes; larger buckets are dealt out in pairs of chunks.
 CHUNK = 512
@@ -91,25 +91,21 @@ def matches(fps: np.ndarray, group: np.ndarray, side: np.ndarray, radius: int) -
     times = first[which] + per[which] - block
     query = np.repeat(np.arange(n), times)
     asked = np.arange(len(query)) - np.repeat(np.cumsum(times) - times, times) + block[query]
-    left, right = [], []
+    left, right, digits = [], [], max(1, radius.bit_length())
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
     for at in range(0, len(query), 1 << 18):
         q, w = query[at : at + (1 << 18)], asked[at : at + (1 << 18)]
-        ones, twos, fours, more = (np.zeros(len(q), np.uint64) for _ in range(4))
+        *counters, more = (np.zeros(len(q), np.uint64) for _ in range(digits + 1))
         for j in range(64):
             d = planes[j][w] ^ np.where((fps[q] >> np.uint64(j)) & one, full, np.uint64(0))
-            c = ones & d
-            ones ^= d
-            d = twos & c
-            twos ^= c
-            c = fours & d
-            fours ^= d
-            more |= c  # eight or more
+            for i, counter in enumerate(counters):
+                counters[i], d = counter ^ d, counter & d
+            more |= d  # beyond what the counters hold
             if j % 8 == 7 and j < 63:
-                alive = (beyond(ones, twos, fours, more, radius) & valid[w]) != valid[w]
+                alive = (beyond(counters, more, radius) & valid[w]) != valid[w]
                 if not alive.all():
-                    q, w, ones, twos, fours, more = (x[alive] for x in (q, w, ones, twos, fours, more))
-        near = ~beyond(ones, twos, fours, more, radius) & valid[w]
+                    q, w, more, *counters = (x[alive] for x in (q, w, more, *counters))
+        near = ~beyond(counters, more, radius) & valid[w]
         some = np.flatnonzero(near)
         hit, bit = np.nonzero((near[some, None] >> np.arange(64, dtype=np.uint64)) & one)
         a, b = q[some[hit]], index[w[some[hit]], bit]
@@ -125,15 +121,15 @@ def mixed(side: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return (total > 0) & (total < sizes)
 
 
-def beyond(ones: np.ndarray, twos: np.ndarray, fours: np.ndarray, more: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose counter exceeds the radius, of 0 to 7."""
-    planes, out, equal = (fours, twos, ones), more.copy(), ~more
-    for p, bit in zip(planes, (radius >> 2 & 1, radius >> 1 & 1, radius & 1)):
-        if bit:
-            equal = equal & p
+def beyond(counters: list[np.ndarray], more: np.ndarray, radius: int) -> np.ndarray:
+    """Lanes whose counter, ones first, exceeds the radius. more: those that have overflown."""
+    out, equal = more.copy(), ~more
+    for i, digit in reversed(list(enumerate(counters))):
+        if radius >> i & 1:
+            equal = equal & digit
         else:
-            out |= equal & p
-            equal = equal & ~p
+            out |= equal & digit
+            equal = equal & ~digit
     return out
 
 
@@ -167,21 +163,31 @@ def links(classes: DataFrame, radius: int = 4, chunk: int = CHUNK) -> DataFrame:
         return out
 
     keyed = classes.select("node", "fp", F.posexplode(F.array(*[bits(t) for t in tables])).alias("t", "key"))
+
+    def compare(rows: pa.Table, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        node, root = rows["node"].to_numpy(), forest(rows.num_rows, a, b)
+        own = np.flatnonzero(root != np.arange(len(root)))
+        return node[own], node[root[own]]
+
+    return compared(keyed, radius, chunk, compare)
+
+
+def compared(keyed: DataFrame, radius: int, chunk: int, pick: Callable[[pa.Table, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(u, v): what pick makes of the pairs of rows, as positions, that share a bucket (t, key) and differ in at most radius
+    bits of fp. keyed: (t, key, node, fp) and more. Buckets over chunk rows are dealt out in pairs of chunks."""
+    names = [c for c in keyed.columns if c not in ("t", "key")]
     counts = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     keyed = keyed.join(counts, ["t", "key"]).withColumn("k", F.ceil(F.col("n") / chunk).cast("int"))
-    keyed = keyed.withColumn("c", F.pmod(F.xxhash64("fp", "t"), F.col("k")).cast("int"))
+    keyed = keyed.withColumn("c", F.pmod(F.xxhash64("fp", "node", "t"), F.col("k")).cast("int"))
     keyed = keyed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    keyed = keyed.select("t", "key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "node", "fp")
+    keyed = keyed.select("t", "key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", *names)
     dealt = keyed.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        fps, node = rows["fp"].to_numpy().view(np.uint64), rows["node"].to_numpy()
         cols = [rows[c].to_numpy() for c in ("t", "key", "i", "j")]
         group = np.cumsum(np.r_[False, np.logical_or.reduce([c[1:] != c[:-1] for c in cols])])
-        a, b = matches(fps, group, rows["c"].to_numpy() == cols[3], radius)
-        root = forest(len(fps), a, b)
-        own = np.flatnonzero(root != np.arange(len(fps)))
-        return pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[root[own]])], ["u", "v"])
+        a, b = matches(rows["fp"].to_numpy().view(np.uint64), group, rows["c"].to_numpy() == cols[3], radius)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pick(rows, a, b)], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -218,11 +224,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataF
 
 def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """docs, with the row of the smallest doc_id of every group of near-duplicates; of rows that repeat a doc_id, one
-    stays. Rows with a null doc_id stay."""
-    found = near_duplicates(docs, radius, shingle)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    stays, the smallest by its columns. Rows with a null doc_id stay."""
+    return one_each(docs, near_duplicates(docs, radius, shingle))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
