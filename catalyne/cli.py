@@ -40,7 +40,7 @@ def extract_data(spark, a):
 @step
 def filter_data(spark, a):
     rows = spark.read.parquet(a.input)
-    rows = rows.where(has_tag("countries_tags", a.country)) if a.country else rows
+    rows = rows.where(has_tag("countries_tags", a.country, rows.schema["countries_tags"].dataType.simpleString())) if a.country else rows
     rows = rows.where(is_language("lang", a.lang)) if a.lang else rows
     names = [c.strip() for c in a.columns.split(",")] if a.columns else rows.columns
     sinks.write_parquet(rows.select(*names), a.output)

@@ -18,6 +18,11 @@ def field_of(items: ColumnOrName, key: str, value: str, field: str) -> Column:
     return F.getfield(first_match(items, lambda x: (x[key] == value) & x[field].isNotNull()), field) if hasattr(F, "getfield") else first_match(items, lambda x: (x[key] == value) & x[field].isNotNull())[field]
 
 
+def field_of_first(items: ColumnOrName, key: str, value: str, field: str) -> Column:
+    """A field of the first struct whose key has the value, null if it isn't there: later ones don't stand in for it."""
+    return first_match(items, lambda x: x[key] == value)[field]
+
+
 def path(variant: ColumnOrName, *keys: str, kind: str = "string") -> Column:
     """What stands at a path of a VARIANT, or null if it isn't there or is of another kind."""
     return F.try_variant_get(col(variant), "$" + "".join(f'["{k}"]' for k in keys), kind)

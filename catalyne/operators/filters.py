@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.nested import tag_list
 from ..functions.numeric import valid_grade
 from ..functions.text import ColumnOrName, col, normalized, strip
 
@@ -20,9 +21,10 @@ def true(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def has_tag(tags: ColumnOrName, part: str) -> Column:
-    """Whether any tag contains a text, in any case."""
-    return true(F.exists(col(tags), lambda t: F.contains(F.lower(t), F.lit(part.lower()))))
+def has_tag(tags: ColumnOrName, part: str, kind: str = "array<string>") -> Column:
+    """Whether any tag contains a text, in any case. kind: the column's type; tags that are a text are a printed list, and
+    a text that is none has no tags."""
+    return true(F.exists(tag_list(tags, kind), lambda t: F.contains(F.lower(t), F.lit(part.lower()))))
 
 
 def is_language(c: ColumnOrName, language: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nested import field_of, parsed, path
+from ..functions.nested import field_of, field_of_first, parsed, path
 from ..functions.text import image_url
 from ..schemas import NUTRIENTS, PICTURES, TRANSFORMED, nutrient_column
 from .columns import conform
@@ -36,7 +36,7 @@ def transform_snapshot(rows: DataFrame, image_base: str = IMAGE_BASE) -> DataFra
     if is_list(rows, "images"):
         made |= {f"{p}_url": image_url(image_base, "code", F.lit(f"{p}_en"), field_of("images", "key", f"{p}_en", "rev")) for p in PICTURES}
     if is_list(rows, "nutriments"):
-        made |= {nutrient_column(n): F.round(field_of("nutriments", "name", n, "100g").cast("double"), 2) for n in NUTRIENTS}
+        made |= {nutrient_column(n): F.round(field_of_first("nutriments", "name", n, "100g").cast("double"), 2) for n in NUTRIENTS}
     return conform(graded(rows.withColumns(made)), TRANSFORMED)
 
 

@@ -29,7 +29,7 @@ def tables(transformed: DataFrame, categories: Taxonomy, ingredients: Taxonomy,
 
 def select_rows(rows: DataFrame, country: str | None = COUNTRY, language: str | None = None) -> DataFrame:
     if country:
-        rows = rows.where(has_tag("countries_tags", country))
+        rows = rows.where(has_tag("countries_tags", country, rows.schema["countries_tags"].dataType.simpleString()))
     return rows.where(is_language("lang", language)) if language else rows
 
 

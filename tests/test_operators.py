@@ -279,3 +279,19 @@ def test_increments(spark, tmp_path):
         q = incremental.stream_files(spark, str(source), "code string, v string", incremental.upsert_batches("t_inc.rows", ["code"]), str(tmp_path / "cp"))
         q.awaitTermination(120)
     assert sorted(map(tuple, spark.table("t_inc.rows").collect())) == [("1", "a"), ("2", "b")]
+
+
+def test_countries_of_arrays_and_of_printed_lists(spark):
+    printed = ["['en:Canada', 'en:france']", "['en:france']", "en:canada", "", None, "[", "'en:canada'"]
+    df = spark.createDataFrame(list(enumerate(printed)), "i int, countries_tags string")
+    assert [r["i"] for r in load.select_rows(df, "canada").collect()] == [0]
+    arrays = spark.createDataFrame([(0, ["en:Canada"]), (1, ["en:usa", None]), (2, []), (3, None)], "i int, countries_tags array<string>")
+    assert [r["i"] for r in load.select_rows(arrays, "canada").collect()] == [0]
+
+
+def test_the_first_nutrient_of_a_name_decides(spark):
+    from catalyne.functions.nested import field_of, field_of_first
+
+    df = spark.sql("SELECT array(named_struct('name', 'fat', '100g', CAST(null AS double)), named_struct('name', 'fat', '100g', 3d), named_struct('name', 'salt', '100g', 1d)) AS n")
+    row = df.select(field_of_first("n", "name", "fat", "100g").alias("a"), field_of("n", "name", "fat", "100g").alias("b"), field_of_first("n", "name", "salt", "100g").alias("c"), field_of_first("n", "name", "x", "100g").alias("d")).first()
+    assert tuple(row) == (None, 3.0, 1.0, None)
