@@ -24,7 +24,10 @@ RECORD = "page_id long, kind string, record_id string, refers_to string, target_
 
 #: Elements that no reader sees, and those that begin a line.
 HIDDEN = {tag: re.compile(f"</{tag}", re.I) for tag in ("script", "style", "template", "noscript")}
-BREAKS = frozenset("p div h1 h2 h3 h4 h5 h6 ul ol li table tr article section header footer nav main aside blockquote pre form br hr".split())
+BREAKS = "p div h1 h2 h3 h4 h5 h6 ul ol li table tr article section header footer nav main aside blockquote pre form br hr".split()
+BREAKS = frozenset(BREAKS).union("/" + x for x in BREAKS)
+#: Tags that a page's metadata come from, or end a title.
+TOLD = BREAKS | {"title", "/title", "body", "html", "meta", "a"}
 #: A tag's name, and one attribute; both are matched in place, so that a page is read once from its start to its end.
 NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
@@ -61,7 +64,7 @@ def record_id(*parts: str) -> str:
 
 
 def one_line(x: str) -> str:
-    return re.sub(r"[\r\n]+", " ", x)
+    return re.sub(r"[\r\n]+", " ", x) if "\n" in x or "\r" in x else x
 
 
 def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -119,22 +122,23 @@ def tokens(page: str) -> Iterator[tuple[str, str, int]]:
             return
         if begin > at:
             yield "text", page[at:begin], 0
-        if page.startswith("<!--", begin):
-            end = page.find("-->", begin + 4)
-            at = end + 3 if end >= 0 else n
-        elif page.startswith(("<!", "<?"), begin):
-            end = page.find(">", begin)
-            at = end + 1 if end >= 0 else n
-        elif name := NAME.match(page, begin + 1):
-            end = page.find(">", name.end())
+        if name := NAME.match(page, begin + 1):
+            named = name.end()
+            end = page.find(">", named)
             if end < 0:
                 yield "text", page[begin:], 0
                 return
             tag, at = name[0].lower(), end + 1
-            yield "tag", tag, name.end()
+            yield "tag", tag, named
             if tag in HIDDEN and page[end - 1] != "/":
                 close = HIDDEN[tag].search(page, at)
                 at = close.start() if close else n
+        elif page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = end + 3 if end >= 0 else n
+        elif page.startswith(("<!", "<?"), begin):
+            end = page.find(">", begin)
+            at = end + 1 if end >= 0 else n
         else:
             yield "text", "<", 0
             at = begin + 1
@@ -158,7 +162,11 @@ def read_page(page: str) -> tuple[dict, str]:
         if kind == "text":
             (title if in_title else seen).append(what)
             continue
-        block = what.removeprefix("/") in BREAKS
+        if what not in TOLD:
+            if what in HIDDEN:
+                seen.append(" ")
+            continue
+        block = what in BREAKS
         if what == "title":
             in_title = found["Title"] is None
         elif what == "/title" or block or what == "body":
@@ -175,9 +183,7 @@ def read_page(page: str) -> tuple[dict, str]:
             found["Links"].append(link)
         if block:
             seen.append("\n")
-        elif what in HIDDEN:
-            seen.append(" ")
-    lines = (" ".join(x.split()) for x in html.unescape("".join(seen)).split("\n"))
+    lines = (" ".join(x.split()) for x in html.unescape("".join(seen)).split("\n") if x)
     return found, "\n".join(x for x in lines if x)
 
 
