@@ -413,19 +413,12 @@ def str_id_to_name(nation):
     return nation.select("n_nationkey", text.tag_name(F.concat(F.lit("en:"), "n_name")).alias("name"))
 
 
-PLAIN = "regexp_full_match(html, '[\\x00-\\x7F]*')"
 CLEANED = "trim(regexp_replace(regexp_replace(regexp_replace(replace({0}, '_', ' '), '<[^>]+>', ' ', 'g'), '[^a-zA-Z0-9%+\\-/,:.\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
-@query(f"SELECT page_id, md5({CLEANED.format('html')}) AS cleaned FROM pages WHERE {PLAIN}", "pages")
-def str_clean_text_html(pages):
-    plain = pages.where(F.col("html").rlike(r"^\p{ASCII}*$"))
-    return plain.select("page_id", F.md5(text.clean_text("html", fold=False)).alias("cleaned"))
-
-
 @query(None, "pages")
 def str_clean_text_pages(pages):
-    """Every page, with accents folded; str_clean_text_html and its SQL keep to plain ones. SQL can't fold ligatures."""
+    """Every page, with accents folded. SQL can't fold ligatures."""
     return pages.select("page_id", F.md5(text.clean_text("html")).alias("cleaned"))
 
 
@@ -439,18 +432,12 @@ def str_strip_accents(documents):
     return documents.where("text is not null").select("doc_id", F.md5(text.fold_accents("text", compatible=False)).alias("folded"))
 
 
-@query(f"SELECT item_id, array_to_string({TOKENS.format(NORM.format('text'))}, ' ') AS tokens FROM benchmark WHERE regexp_full_match(text, '[\\x00-\\x7F]*')", "benchmark")
-def str_tokenize(benchmark):
-    plain = benchmark.where(F.col("text").rlike(r"^\p{ASCII}*$"))
-    return plain.select("item_id", F.array_join(text.tokens(text.normalized("text", fold=False)), " ").alias("tokens"))
-
-
 FOLDED = NORM.format("strip_accents(text)")
 
 
 @query(f"SELECT item_id, array_to_string({TOKENS.format(FOLDED)}, ' ') AS tokens FROM benchmark", "benchmark")
 def str_tokenize_folded(benchmark):
-    """Every item, with accents folded; str_tokenize and its SQL keep to plain ones."""
+    """Every item, with accents folded."""
     return benchmark.select("item_id", F.array_join(text.tokens(text.normalized("text")), " ").alias("tokens"))
 
 
@@ -636,17 +623,9 @@ def catalog_detail(spark, sf_dir):
     return rows.select("code", F.explode("categories").alias("c")).select("code", "c.child", "c.parent", "c.display")
 
 
-@query(f"SELECT p_partkey::VARCHAR AS code, string_agg(DISTINCT {CLEAN.format('s_name')}, '|' ORDER BY {CLEAN.format('s_name')}) AS ingredients FROM part JOIN lineitem ON p_partkey = l_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE p_partkey < 200 GROUP BY 1")
-def catalog_detail_ingredients(spark, sf_dir):
-    c = catalog(spark, sf_dir)
-    wanted = c.products.where("p_partkey < 200").select("code", F.lit(0).alias("pos"))
-    rows = shop.details(c, wanted).where(F.size("ingredients") > 0)
-    return rows.select("code", F.array_join("ingredients", "|").alias("ingredients"))
-
-
 @query(f"SELECT p_partkey::VARCHAR AS code, string_agg(DISTINCT {CLEAN.format('s_name')}, '|' ORDER BY {CLEAN.format('s_name')}) AS ingredients FROM part JOIN lineitem ON p_partkey = l_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1")
 def catalog_detail_ingredients_all(spark, sf_dir):
-    """Every product; catalog_detail_ingredients and its SQL keep to the first 200."""
+    """Every product."""
     c = catalog(spark, sf_dir)
     rows = shop.details(c, c.products.select("code", F.lit(0).alias("pos"))).where(F.size("ingredients") > 0)
     return rows.select("code", F.array_join("ingredients", "|").alias("ingredients"))
@@ -654,40 +633,21 @@ def catalog_detail_ingredients_all(spark, sf_dir):
 
 # Search, similarity, comparison.
 
-WORDS = f"SELECT item_id, unnest({TOKENS.format(NORM.format('text'))}) AS token, len({TOKENS.format(NORM.format('text'))}) AS total FROM benchmark WHERE regexp_full_match(text, '[\\x00-\\x7F]*')"
 WEIGHTS = f"""
-w AS ({WORDS}), t AS (SELECT item_id, token, total, count(*) AS n FROM w GROUP BY 1, 2, 3), d AS (SELECT token, count(*) AS df FROM t GROUP BY 1),
-weights AS (SELECT item_id, t.token, n / total * (ln((1 + (SELECT count(*) FROM benchmark WHERE regexp_full_match(text, '[\\x00-\\x7F]*') AND trim(text) <> '')) / (1 + df)) + 1) AS weight FROM t JOIN d ON t.token = d.token)
-"""
-
-
-@query(f"WITH {WEIGHTS} SELECT item_id, token, round(weight, 6) AS weight FROM weights", "benchmark")
-def tfidf_vectors(benchmark):
-    plain = benchmark.where(F.col("text").rlike(r"^\p{ASCII}*$"))
-    return similarity.term_weights(plain, "item_id", fold=False).withColumn("weight", F.round("weight", 6))
-
-
-@query(f"WITH {WEIGHTS}, b AS (SELECT token, weight FROM weights WHERE item_id = 0), n AS (SELECT item_id, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1) SELECT i.item_id, round(coalesce(x.dot / (n.norm * (SELECT norm FROM n WHERE item_id = 0)), 0), 6) AS text_similarity FROM benchmark i LEFT JOIN n ON i.item_id = n.item_id LEFT JOIN (SELECT item_id, sum(weights.weight * b.weight) AS dot FROM weights JOIN b ON weights.token = b.token GROUP BY 1) x ON i.item_id = x.item_id WHERE i.item_id <> 0 AND regexp_full_match(i.text, '[\\x00-\\x7F]*')", "benchmark")
-def tfidf_cosine(benchmark):
-    plain = benchmark.where(F.col("text").rlike(r"^\p{ASCII}*$"))
-    return similarity.text_scores(plain, 0, "item_id", fold=False).withColumn("text_similarity", F.round("text_similarity", 6))
-
-
-ALL_WEIGHTS = f"""
 w AS (SELECT item_id, unnest({TOKENS.format(FOLDED)}) AS token, len({TOKENS.format(FOLDED)}) AS total FROM benchmark), t AS (SELECT item_id, token, total, count(*) AS n FROM w GROUP BY 1, 2, 3), d AS (SELECT token, count(*) AS df FROM t GROUP BY 1),
 weights AS (SELECT item_id, t.token, n / total * (ln((1 + (SELECT count(*) FROM benchmark WHERE trim(text) <> '')) / (1 + df)) + 1) AS weight FROM t JOIN d ON t.token = d.token)
 """
 
 
-@query(f"WITH {ALL_WEIGHTS} SELECT item_id, token, round(weight, 6) AS weight FROM weights", "benchmark")
+@query(f"WITH {WEIGHTS} SELECT item_id, token, round(weight, 6) AS weight FROM weights", "benchmark")
 def tfidf_vectors_folded(benchmark):
-    """Every item, with accents folded; tfidf_vectors and its SQL keep to plain ones."""
+    """Every item, with accents folded."""
     return similarity.term_weights(benchmark, "item_id").withColumn("weight", F.round("weight", 6))
 
 
-@query(f"WITH {ALL_WEIGHTS}, b AS (SELECT token, weight FROM weights WHERE item_id = 0), n AS (SELECT item_id, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1) SELECT i.item_id, round(coalesce(x.dot / (n.norm * (SELECT norm FROM n WHERE item_id = 0)), 0), 6) AS text_similarity FROM benchmark i LEFT JOIN n ON i.item_id = n.item_id LEFT JOIN (SELECT item_id, sum(weights.weight * b.weight) AS dot FROM weights JOIN b ON weights.token = b.token GROUP BY 1) x ON i.item_id = x.item_id WHERE i.item_id <> 0", "benchmark")
+@query(f"WITH {WEIGHTS}, b AS (SELECT token, weight FROM weights WHERE item_id = 0), n AS (SELECT item_id, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1) SELECT i.item_id, round(coalesce(x.dot / (n.norm * (SELECT norm FROM n WHERE item_id = 0)), 0), 6) AS text_similarity FROM benchmark i LEFT JOIN n ON i.item_id = n.item_id LEFT JOIN (SELECT item_id, sum(weights.weight * b.weight) AS dot FROM weights JOIN b ON weights.token = b.token GROUP BY 1) x ON i.item_id = x.item_id WHERE i.item_id <> 0", "benchmark")
 def tfidf_cosine_folded(benchmark):
-    """Every item, with accents folded; tfidf_cosine and its SQL keep to plain ones."""
+    """Every item, with accents folded."""
     return similarity.text_scores(benchmark, 0, "item_id").withColumn("text_similarity", F.round("text_similarity", 6))
 
 
@@ -717,24 +677,14 @@ def similar_hierarchy_score(spark, sf_dir):
 
 
 BLEND = f"""
-p AS (SELECT * FROM ({PARTS_SQL}) WHERE brands = 'Brand#2'), base AS (SELECT * FROM p ORDER BY p_partkey LIMIT 1),
+WITH p AS ({PARTS_SQL}), base AS (SELECT * FROM p WHERE brands = 'Brand#2' ORDER BY p_partkey LIMIT 1),
 v AS (SELECT code, [ln(1 + coalesce(sugars_100g, 0)), ln(1 + carbohydrates_100g), ln(1 + fat_100g), ln(1 + coalesce(proteins_100g, 0)), ln(1 + salt_100g), ln(1 + coalesce(fiber_100g, 0)), coalesce(CASE nutriscore_grade WHEN 'a' THEN 5 WHEN 'b' THEN 4 WHEN 'c' THEN 3 WHEN 'd' THEN 2 WHEN 'e' THEN 1 END, 0) / 5.0]::DOUBLE[] AS x FROM p)
 """
 
 
-@query(f"WITH {BLEND} SELECT v.code, round(greatest(0, 1 - list_distance(v.x, b.x) / (sqrt(list_dot_product(v.x, v.x)) + sqrt(list_dot_product(b.x, b.x)))), 6) AS score FROM v, (SELECT x FROM v WHERE code = (SELECT code FROM base)) b")
-def similar_nutrition(spark, sf_dir):
-    p = parts(spark, sf_dir).where("brands = 'Brand#2'").withColumn("x", similarity.nutrition_vector())
-    base = F.broadcast(p.orderBy("p_partkey").limit(1).select(F.col("x").alias("b")))
-    return p.crossJoin(base).select("code", F.round(numeric.euclidean_similarity("x", "b"), 6).alias("score"))
-
-
-ALL_BLEND = f"WITH p AS ({PARTS_SQL}), base AS (SELECT * FROM p WHERE brands = 'Brand#2' ORDER BY p_partkey LIMIT 1)," + BLEND.split("LIMIT 1),", 1)[1]
-
-
-@query(f"{ALL_BLEND} SELECT v.code, round(greatest(0, 1 - list_distance(v.x, b.x) / (sqrt(list_dot_product(v.x, v.x)) + sqrt(list_dot_product(b.x, b.x)))), 6) AS score FROM v, (SELECT x FROM v WHERE code = (SELECT code FROM base)) b")
+@query(f"{BLEND} SELECT v.code, round(greatest(0, 1 - list_distance(v.x, b.x) / (sqrt(list_dot_product(v.x, v.x)) + sqrt(list_dot_product(b.x, b.x)))), 6) AS score FROM v, (SELECT x FROM v WHERE code = (SELECT code FROM base)) b")
 def similar_nutrition_all(spark, sf_dir):
-    """Every part against the same base; similar_nutrition and its SQL keep to the base's brand."""
+    """Every part against the same base."""
     p = parts(spark, sf_dir).withColumn("x", similarity.nutrition_vector())
     base = F.broadcast(p.where("brands = 'Brand#2'").orderBy("p_partkey").limit(1).select(F.col("x").alias("b")))
     return p.crossJoin(base).select("code", F.round(numeric.euclidean_similarity("x", "b"), 6).alias("score"))
