@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, langid, licenses, lines, packing, pieces, quality, simhash, substring, warc
+from . import ann, clusters, divergence, langid, licenses, lines, packing, pieces, quality, simhash, substring, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": substring.query,
     "op9_license_scan": licenses.query,
     "op10_quality_rules": quality.query,
+    "op11_token_counts": tokens.query,
+    "op12_source_divergence": divergence.query,
+    "op13_centroid_clusters": clusters.query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": lines.SQL, "op12_source_divergence": divergence.SQL, "op13_centroid_clusters": clusters.SQL}
