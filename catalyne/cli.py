@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from .operators import ingredients, taxonomy
 from .operators.columns import resolve
 from .operators.filters import has_tag, is_language
-from .operators.rules import delta_rules, judged, snapshot_rules, summary
+from .operators.rules import delta_rules, judged, snapshot_rules
 from .operators.transform import finalize, transform_snapshot
 from .operators.transform import transform_delta as flattened
 from .plans.load import COUNTRY
@@ -47,9 +47,7 @@ def filter_data(spark, a):
 
 
 def validate(spark, a, rules):
-    rows = spark.read.parquet(a.input)
-    sinks.quarantine(judged(rows, rules), a.output, a.invalid)
-    counts = summary(rows, rules).first()
+    counts = sinks.quarantine(judged(spark.read.parquet(a.input), rules), a.output, a.invalid)
     sinks.record_run(spark, a.step, counts["records_in"], counts["records_out"], counts["records_rejected"], a.run, a.dag or "", a.table or "monitoring.pipeline_runs")
 
 

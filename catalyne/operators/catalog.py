@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import category_path, clean_name, search_key, strip, without_language
 from ..sources.readers import first_table
+from ..sources.sinks import read_table
 from .filters import contains_text, has_letter
 
 #: How many rows a list has, and may have.
@@ -35,7 +36,7 @@ class Catalog:
 
         def table(*names: str) -> DataFrame | None:
             found = first_table(spark, *[f"{schema}.{n}" for n in names])
-            return spark.table(found) if found else None
+            return read_table(spark, found) if found else None
 
         return cls(
             table("products"), table("categories"), table("ingredients"), table("product_ingredients"),

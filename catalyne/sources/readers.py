@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import strip
 from ..operators.columns import parse_spec
+from .files import Files
 
 
 def read_columns(spark: SparkSession, path: str, columns: str | list[str] | None = None) -> DataFrame:
@@ -38,14 +39,8 @@ def read_zip_parquet(spark: SparkSession, path: str, staging: str) -> DataFrame:
 
 def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """A file in any store that Spark reaches."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
-    try:
-        for i in range(0, len(data), 1 << 22):
-            out.write(bytearray(data[i : i + (1 << 22)]))
-    finally:
-        out.close()
+    folder, _, name = path.rpartition("/")
+    Files(spark, folder).write(name, data)
 
 
 def json_keys(lines: DataFrame) -> list[str]:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
-import uuid
+import logging
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RUNS, UPSERT_KEYS
+from .files import Files
+from .versions import State, VersionedTable
 
 #: Rows of a written batch.
 BATCH_ROWS = 500
@@ -26,10 +28,51 @@ def ensure_schema(spark: SparkSession, table: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
 
 
-def replace_table(rows: DataFrame, table: str) -> None:
-    """CREATE OR REPLACE TABLE AS SELECT."""
-    ensure_schema(rows.sparkSession, table)
-    rows.write.mode("overwrite").format("parquet").saveAsTable(table)
+def versioned(spark: SparkSession, table: str) -> VersionedTable:
+    """The versions of a table of the catalogue, which lie beside its database's tables."""
+    database, _, name = table.rpartition(".")
+    return VersionedTable(spark, f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri}/{name}.versions")
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table: of its last version, or as the catalogue has them if it has no versions."""
+    database = table.rpartition(".")[0]
+    if database and not spark.catalog.databaseExists(database):
+        return spark.table(table)
+    versions = versioned(spark, table)
+    return versions.read() if versions.exists() else spark.table(table)
+
+
+def publish(spark: SparkSession, table: str, versions: VersionedTable, state: State) -> None:
+    """The version as a view under the table's name, for SQL. The log is what counts: a writer that ends before this leaves a
+    view of the version before, whose files are still there."""
+    fields = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in state.struct)
+    empty_row = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in state.struct)
+    parts = [f"SELECT {fields} FROM parquet.`{p}`" for p in versions.paths(state)] or [f"SELECT {empty_row} WHERE false"]
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS {' UNION ALL '.join(parts)}")
+
+
+def adopted(spark: SparkSession, table: str, keys: list[str]) -> VersionedTable:
+    """The versions of a table; a plain table of that name becomes the first of them."""
+    ensure_schema(spark, table)
+    versions = versioned(spark, table)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        if not versions.exists():
+            versions.replace(spark.table(table), keys)
+        spark.sql(f"DROP TABLE {table}")
+    return versions
+
+
+def keys_of(table: str) -> list[str]:
+    return UPSERT_KEYS.get(table.rsplit(".", 1)[-1], ["code"])
+
+
+def replace_table(rows: DataFrame, table: str, keys: list[str] | None = None) -> None:
+    """CREATE OR REPLACE TABLE AS SELECT: a version with these rows alone. keys: what later upserts will go by."""
+    spark = rows.sparkSession
+    keys = keys or [k for k in keys_of(table) if k in rows.columns] or rows.columns[:1]
+    versions = adopted(spark, table, keys)
+    publish(spark, table, versions, versions.replace(rows, keys))
 
 
 def ensure_table(like: DataFrame, table: str) -> None:
@@ -37,7 +80,17 @@ def ensure_table(like: DataFrame, table: str) -> None:
     spark = like.sparkSession
     ensure_schema(spark, table)
     if not spark.catalog.tableExists(table):
-        like.limit(0).write.format("parquet").saveAsTable(table)
+        keys = [k for k in keys_of(table) if k in like.columns] or like.columns[:1]
+        versions = versioned(spark, table)
+        publish(spark, table, versions, versions.create(like.schema, keys))
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """A table with all of its versions."""
+    if spark.catalog.tableExists(table):
+        kind = "VIEW" if spark.catalog.getTable(table).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {table}")
+    versioned(spark, table).drop()
 
 
 def upserted(target: DataFrame, batch: DataFrame, keys: list[str], dedupe: str | None = None) -> DataFrame:
@@ -51,33 +104,25 @@ def upserted(target: DataFrame, batch: DataFrame, keys: list[str], dedupe: str |
     return target.join(incoming, keys, "left_anti").select(target.columns).unionByName(batch, allowMissingColumns=True)
 
 
-def upsert(batch: DataFrame, table: str, keys: list[str] | None = None, dedupe: str | None = None) -> None:
-    """Replaces the rows of a table whose keys the batch has. The new rows are written beside the table and then take its
-    name; if anything fails before that, the table is as it was."""
+def upsert(batch: DataFrame, table: str, keys: list[str] | None = None, dedupe: str | None = None, mark: tuple[str, str] | None = None) -> None:
+    """Replaces the rows of a table whose keys the batch has: only the buckets of these keys are written, as a new version.
+    If anything fails before that is in the table's log, the table is as it was. mark: see VersionedTable.upsert()."""
     spark = batch.sparkSession
-    keys = keys or UPSERT_KEYS.get(table.rsplit(".", 1)[-1], ["code"])
-    ensure_table(batch, table)
-    staging, old = (f"{table}__{x}_{uuid.uuid4().hex[:8]}" for x in ("new", "old"))
-    try:
-        upserted(spark.table(table), batch, keys, dedupe).write.format("parquet").saveAsTable(staging)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        raise
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    try:
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    except Exception:
-        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
-        raise
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    keys = keys or keys_of(table)
+    versions = adopted(spark, table, keys)
+    publish(spark, table, versions, versions.upsert(batch, keys, dedupe, mark))
 
 
-def quarantine(judged: DataFrame, valid_path: str, invalid_path: str, flag: str = "valid") -> None:
-    """Writes rows that pass and rows that don't, each to its folder, from one persisted frame."""
-    judged = judged.persist()
+def quarantine(judged: DataFrame, valid_path: str, invalid_path: str, flag: str = "valid") -> dict[str, int]:
+    """Writes rows that pass and rows that don't, each to its folder, from one persisted frame. Returns records_in,
+    records_out and records_rejected, which are counted by the way as the first folder is written: no pass is made for them."""
+    seen, judged = Observation(), judged.persist()
+    counts = {"records_in": F.count("*"), "records_out": F.count_if(flag), "records_rejected": F.count_if(~F.col(flag))}
     try:
-        write_parquet(judged.where(flag).drop(flag), valid_path)
+        observed = judged.observe(seen, *[c.alias(k) for k, c in counts.items()])
+        write_parquet(observed.where(flag).drop(flag), valid_path)
         write_parquet(judged.where(f"not {flag}").drop(flag), invalid_path)
+        return {k: int(v) for k, v in seen.get.items()}
     finally:
         judged.unpersist()
 
@@ -96,9 +141,16 @@ def record_run(spark: SparkSession, command: str, records_in: int, records_out:
 
 
 def write_result(values: list, path: str) -> None:
-    """A small result for whatever started the run."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(values))
+    """A small result for whatever started the run: a file in any store, or a line of the log where that can't be written."""
+    try:
+        spark, (folder, _, name) = SparkSession.getActiveSession(), path.rpartition("/")
+        if spark is not None and ":" in path:
+            Files(spark, folder).write(name, json.dumps(values).encode())
+        else:
+            Path(path).parent.mkdir(parents=True, exist_ok=True)
+            Path(path).write_text(json.dumps(values))
+    except Exception as e:
+        logging.getLogger(__name__).warning("result not written to %s (%s): %s", path, e, json.dumps(values))
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:
