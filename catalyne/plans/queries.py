@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import nested, numeric, text
 from ..operators import columns, compare, filters, ingredients, rules, search, similarity, taxonomy
 from ..operators import catalog as shop
-from ..sources import sinks
+from ..sources import readers, sinks
+from ..sources.files import Files, shared_folder
 from ..streaming import incremental
 from .tables import PARTS_SQL, catalog, parts, place_edges, places, read
 
@@ -146,6 +147,17 @@ def monitor_rejection_rate(orders):
     return rows.withColumn("rejection_rate", numeric.rate("rejected", "records_in"))
 
 
+@query("SELECT 'split_orders' AS command, count(*) AS records_in, count(*) FILTER (o_totalprice >= 100000) AS records_out, count(*) FILTER (o_totalprice < 100000) AS records_rejected, round(count(*) FILTER (o_totalprice < 100000) / count(*) * 100, 2)::DOUBLE AS rejection_rate FROM orders")
+def monitor_run_record(spark, sf_dir):
+    """Orders are split and written; the counts come from that pass, and the run's row from the table of runs."""
+    folder, table = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex[:8]}", own_table(spark, "runs")
+    orders = rules.judged(read(spark, sf_dir, "orders"), [rules.Rule("large", F.col("o_totalprice") >= 100000)])
+    counts = sinks.quarantine(orders, f"{folder}/good", f"{folder}/bad")
+    sinks.record_run(spark, "split_orders", *counts.values(), run_id="queries", table=table)
+    Files(spark, folder).delete()
+    return sinks.read_table(spark, table).select("command", "records_in", "records_out", "records_rejected", "rejection_rate")
+
+
 # Joins.
 
 
@@ -549,45 +561,78 @@ def pivot_metrics(lineitem):
 # Tables, upserts, increments.
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"catalyne_{name}_{uuid.uuid4().hex[:8]}"
+def own_table(spark: SparkSession, name: str) -> str:
+    """A query's table; what earlier calls have left of it goes, but for the version that they returned."""
+    table = f"catalyne_{name}"
+    sinks.versioned(spark, table).vacuum(keep=1, older_than=0)
+    return table
+
+
+def upserted(rows: DataFrame, batch: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """The table after it was made of rows and a batch was upserted."""
+    table = own_table(rows.sparkSession, name)
+    sinks.replace_table(rows, table, keys)
+    sinks.upsert(batch, table, keys)
+    return sinks.read_table(rows.sparkSession, table)
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < DATE '1998-01-01' AND o_orderkey % 10 <> 0 UNION ALL SELECT o_orderkey, 'new' FROM orders WHERE o_orderkey % 10 = 0", "orders")
 def upsert_single_key(orders):
     rows = orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
     batch = rows.where("o_orderkey % 10 = 0").select("o_orderkey", F.lit("new").alias("o_orderstatus"))
-    return sinks.upserted(rows.where("o_orderdate < DATE '1998-01-01'").drop("o_orderdate"), batch, ["o_orderkey"])
+    return upserted(rows.where("o_orderdate < DATE '1998-01-01'").drop("o_orderdate"), batch, "single_key", ["o_orderkey"])
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE l_quantity > 45) UNION ALL SELECT l_orderkey, l_linenumber, -l_quantity FROM lineitem WHERE l_quantity > 45", "lineitem")
 def upsert_composite_key(lineitem):
     rows = lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
     batch = rows.where("l_quantity > 45").withColumn("l_quantity", -F.col("l_quantity"))
-    return sinks.upserted(rows, batch, ["l_orderkey", "l_linenumber"])
+    return upserted(rows, batch, "composite_key", ["l_orderkey", "l_linenumber"])
 
 
 @query("SELECT r_regionkey, CASE WHEN r_regionkey = 1 THEN 'changed' ELSE r_name END AS r_name FROM region", "region")
 def ctas_overwrite(region):
-    spark, table = region.sparkSession, scratch(region.sparkSession, "region")
-    sinks.replace_table(region, table)
-    sinks.upsert(region.where("r_regionkey = 1").withColumn("r_name", F.lit("changed")), table, ["r_regionkey"])
-    return spark.table(table)
+    return upserted(region, region.where("r_regionkey = 1").withColumn("r_name", F.lit("changed")), "region", ["r_regionkey"])
 
 
 @query("SELECT o_orderkey, max(o_totalprice) AS o_totalprice FROM orders GROUP BY 1")
 def incremental_checkpoint(spark, sf_dir):
-    orders, table = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), scratch(spark, "orders")
+    orders, table = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), own_table(spark, "orders")
     index = orders.select(F.col("o_orderpriority").alias("file")).distinct()
+    sinks.replace_table(orders.drop("o_orderpriority").limit(0), table, ["o_orderkey"])
 
     def step(file: str) -> None:
         sinks.upsert(orders.where(F.col("o_orderpriority") == file).drop("o_orderpriority"), table, ["o_orderkey"])
 
-    checkpoints = scratch(spark, "checkpoints")
+    checkpoints = f"catalyne_checkpoints_{uuid.uuid4().hex[:8]}"
     incremental.run_pending(spark, index, step, checkpoints)
     if incremental.run_pending(spark, index, step, checkpoints):
         raise AssertionError("files ran twice")
-    return spark.table(table)
+    sinks.drop_table(spark, checkpoints)
+    return sinks.read_table(spark, table)
+
+
+@query("SELECT user_id, event_id, event_type FROM events WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 5 DESC, event_id DESC) = 1")
+def stream_available_now(spark, sf_dir):
+    """Events as five gzipped files of JSON lines, streamed in order of name: of each user, the last event of the last file
+    that has any."""
+    folder, table = f"{shared_folder(spark)}/events-{uuid.uuid4().hex[:8]}", own_table(spark, "events")
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type").where("user_id is not null")
+    lines = events.select(F.concat(F.lit("e"), F.col("event_id") % 5).alias("name"), F.to_json(F.struct("*")).alias("value"))
+    lines.write.partitionBy("name").option("compression", "gzip").text(folder)
+    sinks.replace_table(events.limit(0), table, ["user_id"])
+    index = spark.createDataFrame([(n,) for n in Files(spark, folder).names() if n.startswith("name=")], "file string")
+
+    def step(file: str) -> None:
+        rows = readers.read_delta(spark, f"{folder}/{file}", columns="event_id,user_id,event_type")
+        batch = rows.select(F.col("event_id").cast("long"), F.col("user_id").cast("long"), "event_type")
+        sinks.upsert(batch, table, ["user_id"], dedupe="event_id", mark=("delta", file))
+
+    checkpoint = f"{folder}/_checkpoint"
+    if len(incremental.stream_names(spark, index, step, checkpoint)) != index.count() or incremental.stream_names(spark, index, step, checkpoint):
+        raise AssertionError("each file is run once")
+    Files(spark, folder).delete()
+    return sinks.read_table(spark, table)
 
 
 @query(f"SELECT count(*) AS n FROM ({PARTS_SQL})")

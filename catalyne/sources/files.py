@@ -7,6 +7,11 @@ from pyspark.sql import SparkSession
 CHUNK = 1 << 22
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share: spark.checkpoint.dir, or the warehouse where that is unset."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 class Files:
     """A folder of a store, through Hadoop's own file system classes."""
 

@@ -93,17 +93,6 @@ def drop_table(spark: SparkSession, table: str) -> None:
     versioned(spark, table).drop()
 
 
-def upserted(target: DataFrame, batch: DataFrame, keys: list[str], dedupe: str | None = None) -> DataFrame:
-    """target without the rows whose keys the batch has, and the batch. Columns go by name; those that one side lacks are
-    null. Rows with a null among their keys match none and stay. dedupe: a column by which the last row of each key in
-    the batch is kept; without it, all rows of the batch count."""
-    if dedupe:
-        last = F.max_by(F.struct(*batch.columns), F.col(dedupe)).alias("r")
-        batch = batch.groupBy(*keys).agg(last).select("r.*")
-    incoming = batch.select(*keys).distinct()
-    return target.join(incoming, keys, "left_anti").select(target.columns).unionByName(batch, allowMissingColumns=True)
-
-
 def upsert(batch: DataFrame, table: str, keys: list[str] | None = None, dedupe: str | None = None, mark: tuple[str, str] | None = None) -> None:
     """Replaces the rows of a table whose keys the batch has: only the buckets of these keys are written, as a new version.
     If anything fails before that is in the table's log, the table is as it was. mark: see VersionedTable.upsert()."""

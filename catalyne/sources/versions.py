@@ -137,9 +137,12 @@ class VersionedTable:
         fresh = batch.select(*cols)
         if dedupe:
             fresh = fresh.groupBy(*keys).agg(F.max_by(F.struct(*fresh.columns), F.col(dedupe)).alias("r")).select("r.*")
-        # Read three times, and a batch may not be the same when it is computed again.
-        fresh = fresh.withColumn(BUCKET, bucket_of(keys, more)).persist()
+        # Read three times, and a batch may not be the same when it is computed again: it is written first.
+        staged = f"data/{self._next(state)}.batch"
+        fresh = fresh.withColumn(BUCKET, bucket_of(keys, more))
         try:
+            fresh.write.parquet(f"{self.path}/{staged}")
+            fresh = self.spark.read.schema(fresh.schema).parquet(f"{self.path}/{staged}")
             touched = {str(r[0]) for r in fresh.select(BUCKET).distinct().collect()}
             marks = state.marks | ({mark[0]: mark[1]} if mark else {})
             if not touched and not whole:
@@ -150,7 +153,7 @@ class VersionedTable:
             parts = self._write(rows, self._next(state))
             return self._commit(state, State(0, keys, more, schema.json(), parts if whole else state.parts | parts, marks))
         finally:
-            fresh.unpersist()
+            self.files.delete(staged)
 
     def vacuum(self, keep: int = 2, older_than: float = 86_400) -> list[str]:
         """Deletes what none of the last versions needs: entries of the log, and folders that were last changed so many

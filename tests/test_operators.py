@@ -193,7 +193,9 @@ def test_upsert_and_runs(spark):
     for _ in range(2):
         sinks.upsert(batch, "t_up.products")
     assert sorted(map(tuple, spark.table("t_up.products").collect())) == [("1", "a"), ("2", "c"), ("2", "d"), ("3", "e")]
-    assert sorted(map(tuple, sinks.upserted(rows, batch, ["code"], dedupe="v").collect())) == [("1", "a"), ("2", "d"), ("3", "e")]
+    sinks.upsert(rows, "t_up.other", ["code"])
+    sinks.upsert(batch, "t_up.other", ["code"], dedupe="v")
+    assert sorted(map(tuple, spark.table("t_up.other").collect())) == [("1", "a"), ("2", "d"), ("3", "e")]
     broken = batch.withColumn("v", F.raise_error(F.lit("no")).cast("string"))
     with pytest.raises(Exception):
         sinks.upsert(broken, "t_up.products")
