@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ast
-import unicodedata
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -11,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import folding
+
 ColumnOrName = Column | str
 
 #: Words that carry no meaning in product texts.
@@ -37,19 +38,9 @@ def presence(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def _fold_compatible(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
-
-
-@F.pandas_udf(T.StringType())
-def _fold_canonical(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn"))
-
-
 def fold_accents(c: ColumnOrName, compatible: bool = True) -> Column:
     """Letters without their accents; compatible: ligatures and the like are taken apart as well."""
-    return (_fold_compatible if compatible else _fold_canonical)(col(c))
+    return folding.fold(col(c), compatible)
 
 
 def without_language(c: ColumnOrName) -> Column:
