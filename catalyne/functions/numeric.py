@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .text import ColumnOrName, col
 
-GRADES = "edcba"
+#: What each grade counts.
+GRADES = {"a": 5, "b": 4, "c": 3, "d": 2, "e": 1}
 
 
 def finite(c: ColumnOrName) -> Column:
@@ -23,8 +24,8 @@ def log_feature(c: ColumnOrName) -> Column:
 
 def grade_value(c: ColumnOrName) -> Column:
     """a to e as 5 to 1; null for anything else."""
-    place = F.instr(F.lit(GRADES), F.lower(F.trim(col(c))))
-    return F.when((F.length(F.trim(col(c))) == 1) & (place > 0), place)
+    values = F.create_map(*[F.lit(x) for pair in GRADES.items() for x in pair])
+    return F.try_element_at(values, F.lower(F.trim(col(c))))
 
 
 def valid_grade(c: ColumnOrName) -> Column:

@@ -213,5 +213,16 @@ def fuzzy_ratio(query: str, c: ColumnOrName) -> Column:
     return F.pandas_udf(lambda s: s.map(lambda x: fuzzy(query, x)).astype(float), T.DoubleType())(col(c))
 
 
+def ratio_bound(query: str, c: ColumnOrName) -> Column:
+    """What plain_ratio() of a fixed query can't exceed: the letters that both have, each as often as the one that has fewer,
+    twice over the letters of both. Null counts as empty."""
+    field = F.coalesce(col(c), F.lit(""))
+    shared = F.lit(0)
+    for letter in sorted(set(query)):
+        shared = shared + F.least(F.lit(query.count(letter)), F.length(field) - F.length(F.replace(field, F.lit(letter), F.lit(""))))
+    both = F.length(field) + len(query)
+    return F.when(both > 0, 2 * shared / both).otherwise(1.0)
+
+
 def plain_ratio(query: str, c: ColumnOrName) -> Column:
     return F.pandas_udf(lambda s: s.map(lambda x: similar(query, x or "")).astype(float), T.DoubleType())(col(c))

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+import string
+from functools import lru_cache
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import folding
 from ..functions.text import clean_text, presence, slug, stable_id, strip, tag_name
 from ..schemas import ALIASES, INGREDIENTS, PRODUCT_INGREDIENTS, SUB_INGREDIENTS
+from ..sources.files import endless_recursion, written
 from ..sources.sinks import empty
 from .taxonomy import Taxonomy
 
@@ -14,54 +20,69 @@ from .taxonomy import Taxonomy
 MAX_LEVELS = 1 << 30
 
 
+@lru_cache
+def named_class() -> tuple[str, str, str]:
+    """(a class of all characters that a slug keeps something of; characters that are folded to angle brackets, and to which)."""
+    t = folding.folding(True)
+    pairs = [*zip(t.one, t.to), *t.more.items()]
+    kept = [c for c, x in pairs if re.search("[a-zA-Z0-9%+:.]", x)]
+    angles = [(c, x) for c, x in pairs if x in "<>"]
+    return folding.char_class([*kept, *string.ascii_letters, *string.digits, *"%+:."]), "".join(c for c, _ in angles), "".join(x for _, x in angles)
+
+
+def has_tag_sql(item: str) -> str:
+    """SQL for whether an object of a tree gets a tag: it has an id, or a text of which a slug is left."""
+    kept, angles, plain = named_class()
+    text = f"translate(try_variant_get({item}, '$.text', 'string'), '{angles}', '{plain}')"
+    kept = kept.replace("{", "{{").replace("}", "}}")  # braces name frames in Spark's SQL texts
+    return f"(coalesce(try_variant_get({item}, '$.id', 'string') RLIKE r'\\S', false) OR coalesce(regexp_replace({text}, r'<[^>]+>', ' ') RLIKE r'{kept}', false))"
+
+
 def tree_nodes(products: DataFrame, column: str = "ingredients", max_levels: int = MAX_LEVELS) -> DataFrame:
-    """(row, code, path, id, text): every object in the nested lists of a JSON column; path: its places, from 1, from the root
-    down. Anything that isn't a list has no nodes; items that aren't objects are no nodes but keep their places."""
+    """(code, place, level, id, text, parent_id, parent_text): every object in the nested lists of a JSON column that gets a tag
+    and all of whose ancestors get one; place: its number in its list, from 1. What is below an object without a tag isn't
+    followed. Anything that isn't a list has no nodes; items that aren't objects are no nodes but keep their places.
+
+    Each row carries what its parent is known by, so that no tree is gathered: a product costs its nodes.
+    """
     spark = products.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
     kind = dict(products.dtypes)[column]
     tree = F.try_parse_json(F.col(column) if kind == "string" else F.to_json(column))
-    roots = products.select(F.monotonically_increasing_id().alias("row"), "code", tree.alias("tree"))
-    return spark.sql(
-        f"""
-        WITH RECURSIVE nodes(row, code, path, item) AS (
-          SELECT r.row, r.code, array(e.pos + 1), e.value
-          FROM {{roots}} r, LATERAL variant_explode(r.tree) e WHERE schema_of_variant(r.tree) LIKE 'ARRAY%'
-          UNION ALL
-          SELECT n.row, n.code, array_append(n.path, e.pos + 1), e.value
-          FROM nodes n, LATERAL variant_explode(try_variant_get(n.item, '$.ingredients', 'variant')) e
-          WHERE size(n.path) < {int(max_levels)} AND e.key IS NULL
+    with endless_recursion(spark):
+        nodes = spark.sql(
+            f"""
+            WITH RECURSIVE nodes(code, place, level, parent_id, parent_text, item) AS (
+              SELECT r.code, e.pos + 1, 1, CAST(NULL AS STRING), CAST(NULL AS STRING), e.value
+              FROM {{roots}} r, LATERAL variant_explode(r.tree) e WHERE e.key IS NULL
+              UNION ALL
+              SELECT n.code, e.pos + 1, n.level + 1, try_variant_get(n.item, '$.id', 'string'), try_variant_get(n.item, '$.text', 'string'), e.value
+              FROM nodes n, LATERAL variant_explode(try_variant_get(n.item, '$.ingredients', 'variant')) e
+              WHERE n.level < {int(max_levels)} AND e.key IS NULL AND {has_tag_sql("n.item")}
+            )
+            SELECT code, place, level, try_variant_get(item, '$.id', 'string') AS id, try_variant_get(item, '$.text', 'string') AS text, parent_id, parent_text
+            FROM nodes WHERE {has_tag_sql("item")}
+            """,
+            roots=products.select("code", tree.alias("tree")),
         )
-        SELECT row, code, path, try_variant_get(item, '$.id', 'string') AS id, try_variant_get(item, '$.text', 'string') AS text
-        FROM nodes WHERE schema_of_variant(item) LIKE 'OBJECT%'
-        """,
-        roots=roots,
-    )
+        return written(nodes, "nodes")
 
 
-def resolved(nodes: DataFrame, tags: DataFrame, fold: bool = True) -> DataFrame:
-    """nodes with tag and clean: the canonical tag of the first of id, en:slug and fr:slug that the taxonomy knows, else the
-    id, else en:slug, else null; and the cleaned text."""
-    rows = nodes.withColumns({"_id": presence(F.lower(strip("id"))), "clean": presence(clean_text("text", fold)), "_slug": presence(slug("text", fold))})
-    rows = rows.withColumns({"_en": F.concat(F.lit("en:"), "_slug"), "_fr": F.concat(F.lit("fr:"), "_slug")})
+def tagged(rows: DataFrame, tags: DataFrame, id: str, text: str, out: str, fold: bool = True) -> DataFrame:
+    """rows with a tag: the canonical one of the first of id, en:slug and fr:slug that the taxonomy knows, else the id, else
+    en:slug, else null."""
+    cols = rows.columns
+    named = rows.withColumns({"_id": presence(F.lower(strip(id))), "_slug": presence(slug(text, fold))})
+    named = named.withColumns({"_en": F.concat(F.lit("en:"), "_slug"), "_fr": F.concat(F.lit("fr:"), "_slug")})
     for c in ("_id", "_en", "_fr"):
-        rows = rows.join(tags.select(F.col("tag").alias(c), F.col("canonical").alias(f"{c}_known")), c, "left")
-    tag = F.coalesce("_id_known", "_en_known", "_fr_known", "_id", "_en")
-    return rows.select(*nodes.columns, "clean", tag.alias("tag"))
+        named = named.join(tags.select(F.col("tag").alias(c), F.col("canonical").alias(f"{c}_known")), c, "left")
+    return named.select(*cols, F.coalesce("_id_known", "_en_known", "_fr_known", "_id", "_en").alias(out))
 
 
-def connected(rows: DataFrame) -> DataFrame:
-    """(code, path, tag, clean, parent): the nodes with a tag all of whose ancestors have one. A product's tree is gathered
-    whole; it is one record of the input."""
-    trees = rows.groupBy("row", "code").agg(F.collect_list(F.struct("path", "tag", "clean")).alias("nodes"))
-    dead = F.transform(F.filter("nodes", lambda n: n["tag"].isNull()), lambda n: n["path"])
-    named = F.map_from_entries(F.transform("nodes", lambda n: F.struct(F.array_join(n["path"], ".").alias("k"), n["tag"].alias("v"))))
-    trees = trees.withColumns({"dead": dead, "named": named})
-    each = trees.select("code", "named", "dead", F.explode("nodes").alias("n")).select("code", "n.*", "named", "dead")
-    cut = F.exists("dead", lambda d: (F.size(d) <= F.size("path")) & (F.slice("path", F.lit(1), F.size(d)) == d))
-    parent: Column = F.when(F.size("path") > 1, F.try_element_at("named", F.array_join(F.slice("path", F.lit(1), F.size("path") - 1), ".")))
-    return each.where(~cut).select("code", "path", "tag", "clean", parent.alias("parent"))
+def resolved(nodes: DataFrame, tags: DataFrame, fold: bool = True) -> DataFrame:
+    """(code, place, level, clean, tag, parent): the cleaned text, the tag, and the tag of the node above, null at the top."""
+    rows = nodes.withColumn("clean", presence(clean_text("text", fold)))
+    rows = tagged(tagged(rows, tags, "id", "text", "tag", fold), tags, "parent_id", "parent_text", "parent", fold)
+    return rows.select("code", "place", "level", "clean", "tag", "parent")
 
 
 def normalize_ingredients(products: DataFrame, taxonomy: Taxonomy, roles: dict[str, str] | None = None, fold: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -71,12 +92,13 @@ def normalize_ingredients(products: DataFrame, taxonomy: Taxonomy, roles: dict[s
     spark = products.sparkSession
     if "ingredients" not in products.columns:
         return tuple(empty(spark, s) for s in (INGREDIENTS, PRODUCT_INGREDIENTS, SUB_INGREDIENTS, ALIASES))
-    rows = connected(resolved(tree_nodes(products), taxonomy.tags(spark), fold))
-    number, name, place = stable_id("tag"), tag_name("tag"), F.element_at("path", -1).cast("int")
+    # Four tables are read from these rows.
+    rows = written(resolved(tree_nodes(products), taxonomy.tags(spark), fold), "ingredients")
+    number, name, place = stable_id("tag"), tag_name("tag"), F.col("place").cast("int")
     known = spark.createDataFrame(list((roles or {}).items()), "role_tag string, role string")
-    top = rows.where("parent is null").join(known, F.lower("tag") == F.col("role_tag"), "left")
+    top = rows.where("level = 1").join(known, F.lower("tag") == F.col("role_tag"), "left")
     product = top.select("code", number.alias("ingredient_id"), name.alias("ingredient_name"), place.alias("ingredient_order"), "role").distinct()
-    below = rows.where("parent is not null")
+    below = rows.where("level > 1")
     sub = below.select("code", stable_id("parent").alias("ingredient_id"), number.alias("sous_ingredient_id"), name.alias("sous_ingredient_name"), place.alias("rang")).distinct()
     ingredients = rows.select(number.alias("ingredient_id"), name.alias("ingredient_name")).distinct()
     alias = F.lower("clean")

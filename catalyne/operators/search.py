@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
-from ..functions.text import compact, fuzzy_ratio, normalized, plain_ratio, tokens
+from ..functions.text import compact, fuzzy_ratio, normalized, plain_ratio, ratio_bound, tokens
 from .filters import brand_matches
+from .pruned import best_by_bound
 
 #: Candidates of the first phase, and the shares of the ranking.
 CANDIDATES, FULL_TEXT_WEIGHT, FUZZY_WEIGHT = 100, 0.4, 0.2
@@ -38,11 +39,26 @@ def field_score(norm: str, words: list[str], field: str, field_tokens: str) -> C
     return F.when(F.coalesce(f, F.lit("")) == "", 0.0).otherwise(ladder.otherwise(covered))
 
 
+def nearest_in_spelling(docs: DataFrame, norm: str, wanted: int = CANDIDATES) -> DataFrame:
+    """The documents whose name or brand is most like a query by plain ratio, under `near`; ties by code. The ratio runs on the
+    few spellings whose letters allow for it, once for all documents that share one. Of each spelling the smallest code
+    stands for it: before any other document come those of a hundred spellings."""
+
+    def near(f) -> Column:
+        return F.greatest(f(norm, "name_norm"), FUZZY_BRAND * f(norm, "brand_norm"))
+
+    spelled = docs.groupBy("name_norm", "brand_norm").agg(F.min("code").alias("code"))
+    best = best_by_bound(spelled, near(ratio_bound), lambda rows: rows.withColumn("near", near(plain_ratio)), wanted, "code", "near")
+    same = F.col("name_norm").eqNullSafe(F.col("_name")) & F.col("brand_norm").eqNullSafe(F.col("_brand"))
+    few = F.broadcast(best.select(F.col("name_norm").alias("_name"), F.col("brand_norm").alias("_brand"), "near"))  # wanted rows at most
+    return docs.join(few, same).drop("_name", "_brand").orderBy(F.desc("near"), "code").limit(wanted)
+
+
 def search(products: DataFrame, q: str, brand: str | None = None, limit: int = 500, fold: bool = True, min_score: float | None = None) -> DataFrame:
     """(code, product_name, brands, full_text_score, fuzzy_score, ranking_score, search_score, search_score_pct), best first.
 
     A blank query finds nothing; a query that is a code finds that product. Else the best candidates by the quick score are
-    ranked by full text, or by fuzzy ratio if no product matches in any word. min_score leaves out lower search scores;
+    ranked by full text, or by fuzzy ratio if no product matches in any word; the best for that are found by a bound. min_score leaves out lower search scores;
     without it, candidates that don't match fill the list up. Ties: by name, then code.
     """
     norm, words = query_forms(products, q)
@@ -63,8 +79,7 @@ def search(products: DataFrame, q: str, brand: str | None = None, limit: int = 5
         top = quick.orderBy(F.desc("quick"), "code").limit(CANDIDATES)
         top = top.withColumns({"fuzzy_score": F.lit(0.0), "ranking_score": FULL_TEXT_WEIGHT * F.col("full_text_score"), "search_score": F.col("full_text_score")})
     else:
-        near = F.greatest(plain_ratio(norm, "name_norm"), FUZZY_BRAND * plain_ratio(norm, "brand_norm"))
-        top = quick.withColumn("near", near).orderBy(F.desc("near"), "code").limit(CANDIDATES)
+        top = nearest_in_spelling(quick, norm)
         top = top.withColumn("fuzzy_score", F.greatest(fuzzy_ratio(norm, "name_norm"), FUZZY_BRAND * fuzzy_ratio(norm, "brand_norm")))
         top = top.withColumns({"ranking_score": FULL_TEXT_WEIGHT * F.col("full_text_score") + FUZZY_WEIGHT * F.col("fuzzy_score"), "search_score": F.col("fuzzy_score")})
     if min_score is not None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.nested import last, tag_list
 from ..functions.text import stable_id, strip
 from ..schemas import CATEGORIES, CLOSURE, PRINCIPAL
+from ..sources.files import endless_recursion, written
 from ..sources.sinks import empty
 
 #: Parent steps that are followed: all of them; what has been seen is the guard against cycles.
@@ -95,36 +96,35 @@ def readable(tag: str) -> str:
 
 
 def parse_ingredients(text: str) -> Taxonomy:
-    """As parse_categories(), with tags from slugs; keys that aren't language codes are properties of the block's canonical
-    tag, and parents, which only count after it, are one of them."""
+    """As parse_categories(), with tags from slugs. Before a block's first English name that makes a tag, nothing counts.
+    After it, names of any language are synonyms, other keys are properties (the last of each key stands), and `<` lines are
+    joined into the property `parents`."""
     out = Taxonomy()
     for block in blocks(text):
-        own = None
-        for line in block:
-            if line.startswith("< "):
-                if own and (parent := line[2:].strip().lower()):
-                    known = out.properties[own].get("parents")
-                    out.properties[own]["parents"] = f"{known},{parent}" if known else parent
-                continue
-            found = entry(line)
-            if not found:
-                continue
-            key, values, rest = found
-            if not re.fullmatch(r"[^\W\d_]{2,3}", key):
-                if own:
-                    out.properties[own][key] = rest
-                continue
-            tags = [f"{key}:{s}" for v in values if (s := plain_slug(v))]
-            if own is None and key == "en" and values and plain_slug(values[0]):
-                own = tags[0]
-                out.canonical[own] = own
-                out.properties.setdefault(own, {})
-            if own:
-                for t in tags:
-                    out.canonical.setdefault(t, own)
+        records = [(x, None if x.startswith("< ") else entry(x)) for x in block]
+        start = next((i for i, (_, e) in enumerate(records) if e and e[0] == "en" and e[1] and plain_slug(e[1][0])), None)
+        if start is None:
+            continue
+        rest = records[start:]
+        names = [(e[0], e[1]) for _, e in rest if e and is_language_key(e[0])]
+        properties = {e[0]: e[2] for _, e in rest if e and not is_language_key(e[0])}
+        above = [p for x, e in rest if x.startswith("< ") and (p := x[2:].strip().lower())]
+        own = f"en:{plain_slug(records[start][1][1][0])}"
+        tags = [f"{language}:{s}" for language, values in names for v in values if (s := plain_slug(v))]
+        out.canonical[own] = own
+        for t in tags:
+            out.canonical.setdefault(t, own)
+        held = out.properties.setdefault(own, {})
+        held |= properties
+        if above:
+            held["parents"] = ",".join(filter(None, [held.get("parents"), *above]))
     return out
 
 
+def is_language_key(key: str) -> bool:
+    return re.fullmatch(r"[^\W\d_]{2,3}", key) is not None
+
+
 def additive_roles(additives: Taxonomy, classes: Taxonomy) -> dict[str, str]:
     """A role for each additive that has classes: the readable name of the first one's canonical tag."""
     out = {}
@@ -150,23 +150,23 @@ def closure(edges: DataFrame, start: DataFrame | None = None, max_depth: int = M
     """(tag, ancestor, distance) over (tag, parent) edges, of all tags or of those in start (tag). Every step counts; a tag is
     never its own ancestor, and nothing is followed beyond max_depth or round a cycle."""
     spark = edges.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
     first = edges.join(start.select("tag").distinct(), "tag", "left_semi") if start is not None else edges
-    return spark.sql(
-        f"""
-        WITH RECURSIVE up(tag, ancestor, distance, seen) AS (
-          SELECT tag, parent, 1, array(tag, parent) FROM {{first}} WHERE tag <> parent
-          UNION ALL
-          SELECT u.tag, e.parent, u.distance + 1, array_append(u.seen, e.parent)
-          FROM up u JOIN {{edges}} e ON u.ancestor = e.tag
-          WHERE u.distance < {int(max_depth)} AND NOT array_contains(u.seen, e.parent)
+    with endless_recursion(spark):
+        up = spark.sql(
+            f"""
+            WITH RECURSIVE up(tag, ancestor, distance, seen) AS (
+              SELECT tag, parent, 1, array(tag, parent) FROM {{first}} WHERE tag <> parent
+              UNION ALL
+              SELECT u.tag, e.parent, u.distance + 1, array_append(u.seen, e.parent)
+              FROM up u JOIN {{edges}} e ON u.ancestor = e.tag
+              WHERE u.distance < {int(max_depth)} AND NOT array_contains(u.seen, e.parent)
+            )
+            SELECT tag, ancestor, distance FROM up
+            """,
+            first=first,
+            edges=edges,
         )
-        SELECT tag, ancestor, distance FROM up
-        """,
-        first=first,
-        edges=edges,
-    )
+        return written(up, "closure")
 
 
 def normalize_categories(products: DataFrame, taxonomy: Taxonomy) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -177,10 +177,10 @@ def normalize_categories(products: DataFrame, taxonomy: Taxonomy) -> tuple[DataF
         return empty(spark, CATEGORIES), empty(spark, CLOSURE), empty(spark, PRINCIPAL)
     tagged = canonical_tags(products, taxonomy.tags(spark))
     used = tagged.select(F.explode("tags").alias("tag")).distinct()
-    above = closure(taxonomy.edges(spark), used)
-    names = used.union(above.select("ancestor")).distinct()
-    # Ancestors are categories as well, with ancestors of their own.
-    every = closure(taxonomy.edges(spark), names)
+    # Of the whole taxonomy, once: ancestors are categories as well, with ancestors of their own.
+    above = closure(taxonomy.edges(spark))
+    names = used.union(above.join(used, "tag", "left_semi").select("ancestor")).distinct()
+    every = above.join(names, "tag", "left_semi")
     categories = names.select(stable_id("tag").alias("category_id"), F.col("tag").alias("category_name"))
     links = every.select(stable_id("tag").alias("category_id"), stable_id("ancestor").alias("category_id_parent"), F.col("distance").cast("int").alias("distance"))
     ends = products.select("code").join(tagged.select("code", last("tags").alias("tag")), "code", "left")

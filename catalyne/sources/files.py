@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 CHUNK = 1 << 22
 
@@ -12,6 +16,33 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written to the shared folder and read back: what reads them more than once doesn't compute them again,
+    and a lost executor costs no more than the stage that reads. The files stay until the folder is cleaned."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Options of the session for a while; __ stands for a dot."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def endless_recursion(spark: SparkSession):
+    """Recursive queries that run inside follow their rows to the end."""
+    return settings(spark, spark__sql__cteRecursionRowLimit="-1", spark__sql__cteRecursionLevelLimit="-1")
+
+
 class Files:
     """A folder of a store, through Hadoop's own file system classes."""
 

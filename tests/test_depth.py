@@ -16,4 +16,4 @@ def test_every_level_of_a_deep_tree(spark):
     for i in reversed(range(110)):
         tree = [{"id": f"en:{i}", "ingredients": tree}]
     products = spark.createDataFrame([("1", json.dumps(tree))], "code string, ingredients string")
-    assert {len(r["path"]): r["id"] for r in ingredients.tree_nodes(products).collect()} == {i + 1: f"en:{i}" for i in range(110)}
+    assert {r["level"]: r["id"] for r in ingredients.tree_nodes(products).collect()} == {i + 1: f"en:{i}" for i in range(110)}
