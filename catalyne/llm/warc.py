@@ -27,10 +27,11 @@ HIDDEN = {tag: re.compile(f"</{tag}", re.I) for tag in ("script", "style", "temp
 BREAKS = "p div h1 h2 h3 h4 h5 h6 ul ol li table tr article section header footer nav main aside blockquote pre form br hr".split()
 BREAKS = frozenset(BREAKS).union("/" + x for x in BREAKS)
 #: Tags that a page's metadata come from, or end a title.
-TOLD = BREAKS | {"title", "/title", "body", "html", "meta", "a"}
-#: A tag's name, and one attribute; both are matched in place, so that a page is read once from its start to its end.
-NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
-ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+TOLD = BREAKS | {"title", "/title", "body", "html", "meta", "a", "svg", "/svg"}
+#: A tag's name, what stands between attributes, an attribute's name, what comes before its value, and a value without quotes;
+#: all are matched in place, so that a page is read once from its start to its end.
+NAME, GAP, ATTRIBUTE = re.compile(r"/?[a-zA-Z][^\s/>]*"), re.compile(r"[\s/]*+"), re.compile(r"=?[^\s/>=]*+")
+EQUALS, BARE = re.compile(r"\s*+=\s*+"), re.compile(r"[^\s>]*+")
 #: Types of which a text can be made, besides text/*.
 TEXTUAL = re.compile(r"(?:application/(?:xhtml\+xml|xml|json|javascript|rss\+xml|atom\+xml)|[\w.-]+/[\w.-]+\+(?:xml|json))$")
 MARKUP = re.compile(r"(?:text/html|text/xml|application/xhtml\+xml|application/xml|.*\+xml)$")
@@ -38,6 +39,8 @@ MARKUP = re.compile(r"(?:text/html|text/xml|application/xhtml\+xml|application/x
 GZIP = b"\x1f\x8b\x08"
 NEXT = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r\n")
 LENGTH = re.compile(rb"\r\ncontent-length[ \t]*:[ \t]*(\d+)[ \t]*\r\n", re.I)
+#: Bytes that a compressed body may become; a text beyond that is not held, and the metadata say so.
+MOST_BYTES = 256 << 20
 #: Bytes of a gzip member that are taken at once, and of a file that are handed on at once.
 BLOCK, HANDED = 1 << 20, 16 << 20
 
@@ -108,29 +111,54 @@ def response(page_id: int | None, url: str | None, page: str | None) -> bytes:
     return record([*headers, ("WARC-Block-Digest", digest(block)), ("WARC-Payload-Digest", digest(body)), ("Content-Type", "application/http; msgtype=response")], block)
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, int]]:
-    """("text", its characters, 0) and ("tag", its name in lower case with / before an end, where its attributes begin), in
-    one pass. Comments, declarations and what stands in hidden elements are left out.
+def tag_attributes(page: str, at: int, last: dict[str, int]) -> tuple[dict[str, str], int]:
+    """(a tag's attributes, where the page goes on after it) from the end of its name on; of repeated attributes, the first. A >
+    inside quotes doesn't end a tag. last: the last place of each quote, so that one that is never closed isn't looked for
+    and counts as a character. Place -1: the page ends inside the tag. Every step goes on where the one before stopped."""
+    out: dict[str, str] = {}
+    n = len(page)
+    while True:
+        at = GAP.match(page, at).end()
+        if at >= n:
+            return out, -1
+        if page[at] == ">":
+            return out, at + 1
+        name = ATTRIBUTE.match(page, at)
+        at, value = name.end(), ""
+        if equals := EQUALS.match(page, at):
+            at = equals.end()
+            quote = page[at : at + 1]
+            if last.get(quote, -1) > at:
+                end = page.index(quote, at + 1)
+                value, at = page[at + 1 : end], end + 1
+            else:
+                bare = BARE.match(page, at)
+                value, at = bare[0], bare.end()
+        out.setdefault(name[0].lower(), html.unescape(value))
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
+    """("text", its characters, {}) and ("tag", its name in lower case with / before an end, its attributes), in one pass.
+    Comments, declarations and what stands in hidden elements are left out.
 
     Every search goes on from where the last one ended, and what isn't found ends the pass, so that the work is in
     proportion to the page."""
-    at, n = 0, len(page)
+    at, n, last, none = 0, len(page), {q: page.rfind(q) for q in "\"'"}, {}
     while at < n:
         begin = page.find("<", at)
         if begin < 0:
-            yield "text", page[at:], 0
+            yield "text", page[at:], none
             return
         if begin > at:
-            yield "text", page[at:begin], 0
+            yield "text", page[at:begin], none
         if name := NAME.match(page, begin + 1):
-            named = name.end()
-            end = page.find(">", named)
-            if end < 0:
-                yield "text", page[begin:], 0
+            own, at = (none, name.end() + 1) if page.startswith(">", name.end()) else tag_attributes(page, name.end(), last)
+            if at < 0:
+                yield "text", page[begin:], none
                 return
-            tag, at = name[0].lower(), end + 1
-            yield "tag", tag, named
-            if tag in HIDDEN and page[end - 1] != "/":
+            tag = name[0].lower()
+            yield "tag", tag, own
+            if tag in HIDDEN and page[at - 2] != "/":
                 close = HIDDEN[tag].search(page, at)
                 at = close.start() if close else n
         elif page.startswith("<!--", begin):
@@ -140,25 +168,17 @@ def tokens(page: str) -> Iterator[tuple[str, str, int]]:
             end = page.find(">", begin)
             at = end + 1 if end >= 0 else n
         else:
-            yield "text", "<", 0
+            yield "text", "<", none
             at = begin + 1
 
 
-def attributes(page: str, at: int) -> dict[str, str]:
-    """A tag's attributes, from where they begin to the end of the tag; of repeated ones, the first."""
-    out: dict[str, str] = {}
-    while (m := ATTRIBUTE.match(page, at)) and m.end() > at:
-        out.setdefault(m[1].lower(), html.unescape(next((x for x in m.groups()[1:] if x is not None), "")))
-        at = m.end()
-    return out
-
-
 def read_page(page: str) -> tuple[dict, str]:
     """(title, language, metas and links; what a reader sees): no title, scripts, styles or comments; a line for each block;
-    entities resolved. A title that isn't closed ends with the next block."""
-    seen, title, in_title = [], [], False
+    entities resolved. A title that isn't closed ends with the next block; those of pictures inside the page are no titles
+    of it, and aren't seen either."""
+    seen, title, in_title, pictures = [], [], False, 0
     found: dict = {"Title": None, "Lang": None, "Metas": [], "Links": []}
-    for kind, what, at in tokens(page):
+    for kind, what, own in tokens(page):
         if kind == "text":
             (title if in_title else seen).append(what)
             continue
@@ -167,19 +187,22 @@ def read_page(page: str) -> tuple[dict, str]:
                 seen.append(" ")
             continue
         block = what in BREAKS
-        if what == "title":
-            in_title = found["Title"] is None
+        if what in ("svg", "/svg"):
+            pictures = pictures + 1 if what == "svg" else max(0, pictures - 1)
+        elif what == "title":
+            in_title = found["Title"] is None or pictures > 0
         elif what == "/title" or block or what == "body":
-            if in_title:
+            if in_title and pictures == 0:
                 found["Title"] = " ".join(html.unescape("".join(title)).split())
+            elif in_title:
+                title.clear()
             in_title = False
         if what == "html" and found["Lang"] is None:
-            found["Lang"] = attributes(page, at).get("lang")
+            found["Lang"] = own.get("lang")
         elif what == "meta":
-            own = attributes(page, at)
             if name := own.get("name") or own.get("property"):
                 found["Metas"].append({"name": name, "content": own.get("content", "")})
-        elif what == "a" and (link := attributes(page, at).get("href")) is not None:
+        elif what == "a" and (link := own.get("href")) is not None:
             found["Links"].append(link)
         if block:
             seen.append("\n")
@@ -187,6 +210,10 @@ def read_page(page: str) -> tuple[dict, str]:
     return found, "\n".join(x for x in lines if x)
 
 
+class TooLarge(ValueError):
+    """A body that becomes larger than can be held."""
+
+
 def decoded(body: bytes, http: Headers) -> tuple[bytes, list[str]]:
     """The body without its transfer and content codings, and the codings that couldn't be undone: chunked, gzip and
     deflate are known. A damaged body stays as far as it can be read."""
@@ -195,10 +222,12 @@ def decoded(body: bytes, http: Headers) -> tuple[bytes, list[str]]:
     for name in [x for x in names if x == "chunked"] + [x for x in reversed(names) if x != "chunked"]:
         if name == "chunked":
             body = unchunked(body)
-        elif name in ("gzip", "x-gzip"):
-            body = inflated(body, 31)
-        elif name == "deflate":
-            body = inflated(body, 15) or inflated(body, -15) or body
+        elif name in ("gzip", "x-gzip", "deflate"):
+            try:
+                body = inflated(body, 31) if name != "deflate" else inflated(body, 15) or inflated(body, -15) or body
+            except TooLarge:
+                left.append(f"{name}: more than {MOST_BYTES} bytes")
+                break
         elif name not in ("identity", ""):
             left.append(name)
     return body, left
@@ -222,7 +251,13 @@ CHUNK = re.compile(rb"([0-9a-fA-F]{1,15})[ \t]*(?:;[^\r\n]*)?\r\n")
 
 def inflated(body: bytes, kind: int) -> bytes:
     """What can be decompressed; a body that isn't compressed, though said to be, stays as it is."""
-    out = b"".join(x for x, _ in inflate(memoryview(body), 0, kind))
+    held, size = [], 0
+    for x, _ in inflate(memoryview(body), 0, kind):
+        held.append(x)
+        size += len(x)
+        if size > MOST_BYTES:
+            raise TooLarge
+    out = b"".join(held)
     return out or (body if kind == 31 and not body.startswith(GZIP) else b"")
 
 
@@ -288,12 +323,15 @@ def derivatives(data: bytes) -> list[tuple]:
         "Envelope": {"WARC-Header-Metadata": headers, "Payload-Metadata": {"HTTP-Response-Metadata": {
             "Status": status, "Headers": http, "Entity-Digest": payload, "Entity-Length": len(body), "HTML-Metadata": found}}},
     }
+    if left:
+        meta["Envelope"]["Codings-Left"] = left
+    name = source or digest(data)  # a record without a name of its own is known by its bytes
     made = [("metadata", "application/json", json.dumps(meta, ensure_ascii=False, sort_keys=True).encode("utf-8", "replace"))]
     if text is not None:
         made.append(("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace")))
     out = []
     for kind, kept, block in made:
-        own = [("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, source)), ("WARC-Date", date), ("WARC-Target-URI", target), ("WARC-Refers-To", source)]
+        own = [("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, name)), ("WARC-Date", date), ("WARC-Target-URI", target), ("WARC-Refers-To", source)]
         own += [("WARC-Refers-To-Target-URI", target), ("WARC-Refers-To-Date", date), ("WARC-Source-Payload-Digest", payload), ("WARC-Block-Digest", digest(block)), ("Content-Type", kept)]
         out.append((kind, own[1][1], source, target, date, kept, digest(block), payload, record(own, block)))
     return out
@@ -315,7 +353,8 @@ def derive(records: DataFrame) -> DataFrame:
     """The metadata of every response among records (page_id, record), with all header fields of the record and of HTTP as
     lists of pairs, and the conversion of those whose body is a text.
 
-    Chunked, gzip and deflate bodies are read; other codings, and types that are no texts, have metadata alone. Null and
+    Chunked, gzip and deflate bodies are read; other codings, bodies that become larger than MOST_BYTES, and types that are no
+    texts, have metadata alone, which name the codings that are left. Null and
     damaged records and those of other kinds have none; repeated rows give repeated records, since a name depends on the
     source alone; a page of any length is read in time in proportion to it; an empty table gives no rows; other columns
     are ignored."""

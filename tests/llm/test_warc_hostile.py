@@ -132,6 +132,79 @@ def test_a_megabyte_in_a_second(piece):
     assert time.perf_counter() - began < 3
 
 
+class Counted(str):
+    """A page that counts how often it is looked at, and how far each look goes."""
+
+    steps = 0
+
+    def find(self, what, at=0):
+        end = super().find(what, at)
+        Counted.steps += (end if end >= 0 else len(self)) - at
+        return end
+
+    def index(self, what, at=0):
+        end = super().index(what, at)
+        Counted.steps += end - at
+        return end
+
+
+@pytest.mark.parametrize("a, b", [('<a p=">', '<a "q=">'), ("<a p='>", "<a 'q='>"), ('<a p="', "<a q='"), ("<a = ", "<a =\"x'"), ("<meta x=' ", '<title>"')])
+def test_a_megabyte_of_two_kinds_of_tags(a, b):
+    n = 1_000_000 // (len(a) + len(b))
+    for page in (a * n + b * n, (a + b) * n, b * n + a * n):
+        began = time.perf_counter()
+        warc.read_page(page)
+        assert time.perf_counter() - began < 3
+
+
+def test_random_marks_in_steps_per_character():
+    rnd = random.Random(9)
+    for k in range(300):
+        marks = rnd.choice(["<>=\"' a/", "<a \"'=>", "<a\"", "<!->a ", "<script></script>\"'="])
+        page = Counted("".join(rnd.choice(marks) for _ in range(4000)))
+        Counted.steps = 0
+        warc.read_page(page)
+        assert Counted.steps <= 3 * len(page) + 10
+
+
+def test_marks_inside_quotes():
+    found, seen = warc.read_page('<a title="a > b" href="x">link</a> <a href=\'y>z\' title=">">more</a><p title="<p>">end')
+    assert seen == "link more\nend" and found["Links"] == ["x", "y>z"]
+    assert warc.read_page('<a href="x>open')[1] == '<a href="x>open' or warc.read_page('<a href="x>open')[0]["Links"]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_quoted_marks_against_a_plain_reader(seed):
+    rnd = random.Random(seed)
+    value = lambda: "".join(rnd.choice("ab <>='/&;") for _ in range(rnd.randint(0, 6)))
+    page = "".join(rnd.choice([f'<a href="{value()}" title="{value()}">', f'<p class="{value()}">', "</a>", "word ", "<b>", f'<div id="{value()}" >', "<br/>"]) for _ in range(60))
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    lines = (" ".join(x.split()) for x in html.unescape("".join(reader.out)).split("\n"))
+    found, seen = warc.read_page(page)
+    assert seen == "\n".join(x for x in lines if x) and found["Links"] == reader.links
+
+
+def test_titles_of_pictures_are_not_the_page_s():
+    found, seen = warc.read_page("<html><svg><title>icon</title></svg><title>Page</title><body>x<svg><title>other</title></svg>y")
+    assert found["Title"] == "Page" and seen == "xy"
+
+
+def test_bodies_that_grow_too_large(monkeypatch):
+    monkeypatch.setattr(warc, "MOST_BYTES", 10_000)
+    bomb = made(gzip.compress(b"a" * 10_000_000), ("Content-Encoding", "gzip"))
+    rows = warc.derivatives(bomb)
+    assert [r[0] for r in rows] == ["metadata"] and b"more than 10000 bytes" in rows[0][8]
+    assert text(made(gzip.compress(b"a" * 9_000), ("Content-Encoding", "gzip"))) == "a" * 9_000
+
+
+def test_records_without_a_name():
+    bare = [warc.derivatives(made(x).replace(b"WARC-Record-ID: <urn:x>\r\n", b"")) for x in (b"one", b"two", b"one")]
+    ids = [[r[1] for r in rows] for rows in bare]
+    assert ids[0] == ids[2] and not set(ids[0]) & set(ids[1]) and len(set(ids[0])) == 2
+
+
 def reader(content):
     """The records of a file that isn't damaged, one after another."""
     stream, out = io.BytesIO(gzip.decompress(content) if content.startswith(warc.GZIP) else content), []
