@@ -99,8 +99,9 @@ def normalize_categories(spark, a):
 def normalize_ingredients(spark, a):
     parsed = taxonomy.parse_ingredients(readers.read_text(spark, a.taxonomy))
     roles = taxonomy.additive_roles(*(taxonomy.parse_ingredients(readers.read_text(spark, p)) for p in (a.additives, a.classes))) if a.additives and a.classes else {}
-    for rows, path in zip(ingredients.normalize_ingredients(spark.read.parquet(a.input), parsed, roles), (a.output, a.products, a.parts, a.aliases)):
-        sinks.write_parquet(rows, path)
+    made = ingredients.normalize_ingredients(spark.read.parquet(a.input), parsed, roles)
+    for rows, path, name in zip(made, (a.output, a.products, a.parts, a.aliases), ("ingredients", "product_ingredients", "sous_ingredients", "ingredient_alias")):
+        sinks.write_sorted(rows, path, sinks.ORDERS[name])
 
 
 @step

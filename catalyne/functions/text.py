@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ast
+import re
+from collections.abc import Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -156,6 +158,57 @@ def top_labels(c: ColumnOrName, n: int = 2) -> Column:
     return F.coalesce(presence(F.array_join(F.slice(col(c), 1, n), ", ")), F.lit("—"))
 
 
+#: Columns that an ingredient text is taken from, in order.
+INGREDIENT_TEXTS = ("ingredients_text", "ingredients_text_fr", "ingredients_text_en", "ingredients_text_de", "ingredients_text_es", "ingredients_text_it")
+#: What a URL's component keeps besides letters and digits, and Java's form encoding changes.
+URL_SIGNS = {"+": "%20", "%21": "!", "%27": "'", "%28": "(", "%29": ")", "%7E": "~"}
+
+
+def ingredient_text(columns: Sequence[tuple[str, str]]) -> Column:
+    """The first ingredient text that isn't blank, as it is: of the columns in their fixed order, then of any other language
+    in order of name. columns: a frame's names and types; those that it lacks, or that are no text, don't count."""
+    texts = [c for c, kind in columns if kind == "string"]
+    others = sorted(c for c in texts if re.fullmatch("ingredients_text_[a-z]{2}", c) and c not in INGREDIENT_TEXTS)
+    found = [F.when(strip(c) != "", F.col(c)) for c in [*(c for c in INGREDIENT_TEXTS if c in texts), *others]]
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+
+def ingredient_list(columns: Sequence[tuple[str, str]], most: int | None = None) -> Column:
+    """A product's ingredients to show: the items of `ingredients`, as labels if the first has a language before it; else those of
+    `ingredients_tags`, an array or a printed list, as labels; else the parts of its ingredient text. No items: an empty list."""
+    kinds = dict(columns)
+    none = F.array().cast("array<string>")
+
+    def items(name: str) -> Column:
+        if name not in kinds:
+            return none
+        return F.coalesce(F.col(name) if kinds[name].startswith("array") else quoted_items(name), none)
+
+    def labels(c: Column, prefix: str) -> Column:
+        return F.transform(c, lambda x: F.replace(F.regexp_replace(x, prefix, ""), F.lit("-"), F.lit(" ")))
+
+    own, tags = items("ingredients") if kinds.get("ingredients", "").startswith("array") else none, items("ingredients_tags")
+    shown = F.when(F.coalesce(F.get(own, F.lit(0)), F.lit("")).rlike(LANGUAGE_PREFIX), labels(own, LANGUAGE_PREFIX)).otherwise(own)
+    text = F.coalesce(free_list(ingredient_text(columns)), none)
+    out = F.when(F.size(own) > 0, shown).when(F.size(tags) > 0, labels(tags, "^[a-z]{2}:")).otherwise(text)
+    return F.slice(out, 1, most) if most else out
+
+
+def url_component(c: ColumnOrName) -> Column:
+    """A text as a part of a URL: everything but letters, digits and - _ . ! ~ * ' ( ) as bytes of UTF-8."""
+    out = F.url_encode(col(c))
+    for raw, safe in URL_SIGNS.items():
+        out = F.replace(out, F.lit(raw), F.lit(safe))
+    return out
+
+
+def display_number(c: ColumnOrName, unit: str = "", decimals: int = 2) -> Column:
+    """A number rounded half up to hundredths, with so many decimals and its unit; a dash for none."""
+    number = col(c).cast("double")
+    shown = F.replace(F.format_number(F.floor(number * 100 + 0.5) / 100, decimals), F.lit(","), F.lit(""))
+    return F.when(number.isNull() | F.isnan(number), F.lit("—")).otherwise(F.concat(shown, F.lit(f" {unit}" if unit else "")))
+
+
 def escape_html(c: ColumnOrName) -> Column:
     c = col(c)
     for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):

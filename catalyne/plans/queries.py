@@ -502,6 +502,40 @@ def num_features(part):
     return part.select("p_partkey", F.round(numeric.log_feature("p_size"), 6).alias("feature"), numeric.tier("p_size").alias("tier"), F.round(F.col("p_retailprice") / 3, 2).alias("third"), numeric.grade_value(grade).alias("grade"))
 
 
+@query("SELECT c_custkey, coalesce(CASE WHEN c_custkey % 6 = 0 THEN ['x', 'en:y-z'] WHEN c_custkey % 6 = 1 THEN [replace(lower(c_mktsegment), 'e', '-'), 'b c'] WHEN c_custkey % 6 = 2 THEN ['foo bar', 'baz'] WHEN c_custkey % 6 = 3 THEN [trim(c_name), 'salt'] WHEN c_custkey % 6 = 4 THEN ['seul'] WHEN c_custkey % 6 = 5 AND c_custkey % 4 = 1 THEN ['nur'] END, [])::VARCHAR[] AS items FROM customer", "customer")
+def str_ingredient_list(customer):
+    """Each way that a product's ingredients can be known."""
+    n = F.col("c_custkey") % 6
+    rows = customer.select(
+        "c_custkey",
+        F.when(n == 0, F.array(F.lit("x"), F.lit("en:y-z"))).when(n == 3, F.array().cast("array<string>")).alias("ingredients"),
+        F.when(n == 2, F.lit("['en:foo-bar', 'fr:baz']")).when(n == 3, F.lit("[]")).alias("ingredients_tags"),
+        F.when(n == 3, F.concat(F.lit(" "), "c_name", F.lit(" ;\n salt,, "))).otherwise(F.lit(" ")).alias("ingredients_text"),
+        F.when(n == 4, F.lit("seul")).alias("ingredients_text_fr"),
+        F.when((n == 5) & (F.col("c_custkey") % 4 == 1), F.lit("nur")).when(n == 4, F.lit("zu spät")).alias("ingredients_text_nl"),
+        F.when(n == 1, F.concat(F.replace(F.lower("c_mktsegment"), F.lit("e"), F.lit("-")), F.lit(", b c"))).alias("ingredients_text_it"),
+    )
+    return rows.select("c_custkey", text.ingredient_list(rows.dtypes).alias("items"))
+
+
+@query("SELECT p_partkey, url_encode(p_name || ' é&(1)!') AS part, CASE WHEN p_partkey % 5 = 0 THEN '—' ELSE printf('%.2f', floor(p_retailprice / 7 * 100 + 0.5) / 100) || ' g' END AS shown FROM part", "part")
+def str_display(part):
+    grams = F.when(F.col("p_partkey") % 5 != 0, F.col("p_retailprice") / 7)
+    name = text.url_component(F.concat("p_name", F.lit(" é&(1)!")))
+    # DuckDB writes out what a browser leaves as it is.
+    for sign, code in (("(", "%28"), (")", "%29"), ("!", "%21")):
+        name = F.replace(name, F.lit(sign), F.lit(code))
+    return part.select("p_partkey", name.alias("part"), text.display_number(grams, "g").alias("shown"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey BETWEEN 1000 AND 1400", "lineitem")
+def sort_range_lookup(lineitem):
+    """The table in order of its key, and of that the files that hold some keys."""
+    path = f"{shared_folder(lineitem.sparkSession)}/lines-{uuid.uuid4().hex[:8]}"
+    sinks.write_sorted(lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), path, ["l_orderkey", "l_linenumber"], files=8)
+    return readers.read_range(lineitem.sparkSession, path, 1000, 1400)
+
+
 # JSON and trees.
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
+import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,19 +22,44 @@ def read_columns(spark: SparkSession, path: str, columns: str | list[str] | None
 
 
 def read_zip_parquet(spark: SparkSession, path: str, staging: str) -> DataFrame:
-    """The first Parquet member of a ZIP file, staged in a folder that executors can read. ValueError without any."""
-    content = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    """The first Parquet member of a ZIP file, staged in a folder that executors can read. ValueError without any.
+
+    The archive is a stream from store to store that is inflated on the way, a block at a time: neither it nor the member
+    is held, and both may be larger than any memory. It's one stream by its nature; what is read of the member is not."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    archive = jvm.java.util.zip.ZipInputStream(source.getFileSystem(conf).open(source))
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
-            name = next((n for n in z.namelist() if n.endswith(".parquet")), None)
-            if name is None:
-                raise ValueError("the archive holds no Parquet file")
-            member = z.read(name)
-    except zipfile.BadZipFile as e:
-        raise ValueError("not a ZIP archive") from e
-    target = f"{staging.rstrip('/')}/{name.rsplit('/', 1)[-1]}"
-    put_bytes(spark, target, member)
-    return spark.read.parquet(target)
+        seen = 0
+        while (entry := archive.getNextEntry()) is not None:
+            seen += 1
+            name = entry.getName().rsplit("/", 1)[-1]
+            if not name.endswith(".parquet"):
+                continue
+            target = f"{staging.rstrip('/')}/{name}"
+            made = jvm.org.apache.hadoop.fs.Path(target)
+            out = made.getFileSystem(conf).create(made, True)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(archive, out, 1 << 20, False)
+            finally:
+                out.close()
+            return spark.read.parquet(target)
+    except Py4JJavaError as e:
+        raise ValueError("not a ZIP archive, or a damaged one") from e
+    finally:
+        archive.close()
+    raise ValueError("the archive holds no Parquet file" if seen else "not a ZIP archive")
+
+
+def read_range(spark: SparkSession, path: str, low, high) -> DataFrame:
+    """The rows of sorted files (see write_sorted) whose first key is between two values, both included: only files whose
+    bounds allow for that are read."""
+    held = json.loads(Files(spark, path).read("_bounds.json"))
+    schema = T.StructType.fromJson(json.loads(held["schema"]))
+    names = [f["file"] for f in held["files"] if f["low"] is not None and not (f["high"] < low or f["low"] > high)]
+    if not names:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path.rstrip('/')}/{n}" for n in names]).where(F.col(held["key"]).between(low, high))
 
 
 def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:

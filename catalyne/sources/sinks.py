@@ -14,6 +14,10 @@ from ..schemas import RUNS, UPSERT_KEYS
 from .files import Files
 from .versions import State, VersionedTable
 
+#: The file of bounds beside sorted files; Spark's readers pass over names that begin so.
+BOUNDS = "_bounds.json"
+#: The order of the normalized tables' rows.
+ORDERS = {"ingredients": ["ingredient_id"], "product_ingredients": ["code", "ingredient_order", "ingredient_id"], "sous_ingredients": ["code", "ingredient_id", "rang", "sous_ingredient_id"], "ingredient_alias": ["ingredient_id", "alias_name"]}
 #: Rows of a written batch.
 BATCH_ROWS = 500
 
@@ -23,6 +27,21 @@ def write_parquet(rows: DataFrame, path: str, batch: int | None = None) -> None:
     (writer.option("maxRecordsPerFile", batch) if batch else writer).parquet(path)
 
 
+def write_sorted(rows: DataFrame, path: str, keys: list[str], files: int | None = None) -> None:
+    """Writes rows in order of their keys, a range of them a file, and beside them the bounds of the first key in each file, so
+    that a reader opens only the files that can hold what it looks for. files: about how many; as many as Spark finds
+    right without it. Rows without a first key are in the first file."""
+    ordered = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
+    ordered.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    held = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    name = F.substring_index(F.input_file_name(), "/", -1)
+    # A row a file.
+    bounds = held.groupBy(name.alias("file")).agg(*[F.to_json(F.struct(f(keys[0]).alias("v"))).alias(n) for n, f in (("low", F.min), ("high", F.max))], F.count_if(F.col(keys[0]).isNull()).alias("nulls")).collect()
+    listed = [{"file": r["file"], "low": json.loads(r["low"]).get("v"), "high": json.loads(r["high"]).get("v"), "nulls": r["nulls"]} for r in bounds]
+    kind = rows.schema[keys[0]].dataType.simpleString()
+    Files(rows.sparkSession, path).write(BOUNDS, json.dumps({"key": keys[0], "kind": kind, "schema": rows.schema.json(), "files": listed}).encode())
+
+
 def ensure_schema(spark: SparkSession, table: str) -> None:
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
