@@ -76,16 +76,16 @@ def in_category(c: Catalog, text: str) -> DataFrame:
     return category_links(c).join(hit.select("category_id"), "category_id", "left_semi").select("code")
 
 
-def product_list(c: Catalog, name: str | None = None, brand: str | None = None, ingredient: str | None = None, category: str | None = None, limit: int = LIMIT) -> DataFrame:
+def product_list(c: Catalog, name: str | None = None, brand: str | None = None, ingredient: str | None = None, category: str | None = None, limit: int = LIMIT, wildcards: bool = False) -> DataFrame:
     """Products that pass every given filter, with the names of their categories as an array, by name (nulls last) and
-    code. The limit comes before the categories are gathered, so that only the listed rows are joined."""
+    code. wildcards: % and _ in the name and the brand stand for other characters; without it they stand for themselves. The limit comes before the categories are gathered, so that only the listed rows are joined."""
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit: 1 to {MAX_LIMIT}")
     rows = c.products
     if name:
-        rows = rows.where(contains_text("product_name", name))
+        rows = rows.where(contains_text("product_name", name, wildcards))
     if brand:
-        rows = rows.where(contains_text("brands", brand))
+        rows = rows.where(contains_text("brands", brand, wildcards))
     if ingredient:
         rows = rows.join(with_ingredient(c, ingredient), "code", "left_semi")
     if category:

@@ -65,7 +65,7 @@ def stats(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def placed(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """rows with the least, the greatest and the number of known values of their metric."""
-    least = stats(rows, by).drop("avg").join(rows.groupBy(*by, "metric").agg(F.count("value").alias("known")), [*by, "metric"])
+    least = rows.groupBy(*by, "metric").agg(F.min("value").alias("min"), F.max("value").alias("max"), F.count("value").alias("known"))
     return rows.join(least, [*by, "metric"])
 
 

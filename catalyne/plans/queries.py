@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import nested, numeric, text
 from ..operators import columns, compare, filters, ingredients, rules, search, similarity, taxonomy
 from ..operators import catalog as shop
+from ..schemas import TRANSFORMED
 from ..sources import readers, sinks
 from ..sources.files import Files, shared_folder
 from ..streaming import incremental
@@ -536,6 +537,74 @@ def sort_range_lookup(lineitem):
     return readers.read_range(lineitem.sparkSession, path, 1000, 1400)
 
 
+@query("SELECT n_nationkey, 'en:' || replace(lower(n_name), ' ', '-') AS tag, length(n_name) <= 3 AS code, upper(n_name) || ', x' AS top, lower(n_name) AS kept, CASE WHEN n_nationkey > 0 THEN 'low' ELSE NULL END AS seen, ['en:a', lower(n_name)] AS listed, 'en ' || replace(lower(n_name), '_', ' ') AS page FROM nation", "nation")
+def str_tags(nation):
+    name = F.col("n_name")
+    return nation.select(
+        "n_nationkey", text.to_tag("en", F.concat(F.lit(" "), name)).alias("tag"), text.is_language_code(name).alias("code"),
+        text.top_labels(F.array(F.upper(name), F.lit("x"), F.lit("y"))).alias("top"), text.presence(F.lower(text.strip(F.concat(name, F.lit(" "))))).alias("kept"),
+        text.presence(F.when(F.col("n_nationkey") > 0, "low").otherwise("")).alias("seen"), text.split_property(F.concat(F.lit("en: en:a, "), name)).alias("listed"),
+        text.normalized(F.concat(F.lit("en:"), name), prefix=False).alias("page"),
+    )
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN ['en:' || lower(c_mktsegment), 'b''c'] WHEN c_custkey % 4 = 1 THEN ['1', c_name] ELSE [] END::VARCHAR[] AS items FROM customer", "customer")
+def array_printed_list(customer):
+    """Lists as a program prints them, and texts that are none."""
+    kind, tag = F.col("c_custkey") % 4, F.lower("c_mktsegment")
+    printed = F.when(kind == 0, F.concat(F.lit("['en:"), tag, F.lit("', \"b'c\"]"))).when(kind == 1, F.concat(F.lit("(1, '"), "c_name", F.lit("')"))).when(kind == 2, F.concat(F.lit("['en:"), tag))
+    return customer.select("c_custkey", text.literal_list(printed).alias("items"))
+
+
+def records(docs: DataFrame, nutrients: str) -> DataFrame:
+    """Documents as records of a load, some of which lack something."""
+    k = F.col("doc_id")
+    return docs.select(
+        F.when(k % 11 != 0, F.when(k % 7 != 0, k.cast("string")).otherwise("  ")).alias("code"), F.when(k % 5 != 0, F.col("lang")).alias("product_name"),
+        F.when(k % 3 != 0, F.col("source")).alias(nutrients), F.when(k % 13 != 0, F.array("lang")).alias("categories_tags"),
+    )
+
+
+def failed_sql(nutrients: str) -> str:
+    tests = {"code_present": "doc_id % 11 = 0", "code_not_blank": "doc_id % 11 = 0 OR doc_id % 7 = 0", "name_present": "doc_id % 5 = 0 OR lang IS NULL", f"{nutrients}_present": "doc_id % 3 = 0 OR source IS NULL", "categories_present": "doc_id % 13 = 0"}
+    return " UNION ALL ".join(f"SELECT '{name}' AS rule, count(*) FILTER ({test}) AS failed FROM documents" for name, test in tests.items())
+
+
+@query(failed_sql("nutriments"), "documents")
+def validate_snapshot_rules(documents):
+    return rules.failures(records(documents, "nutriments"), rules.snapshot_rules())
+
+
+@query(failed_sql("nutrition"), "documents")
+def validate_delta_rules(documents):
+    return rules.failures(records(documents, "nutrition"), rules.delta_rules())
+
+
+@query("SELECT o_orderkey::VARCHAR AS code, o_orderstatus AS product_name, o_totalprice::DOUBLE AS ecoscore_score, o_custkey::BIGINT AS ingredients_n, ['x', o_orderpriority] AS categories_tags, NULL::VARCHAR AS brands, NULL::DOUBLE AS fat_100g, NULL::DOUBLE AS salt_100g, 34 AS columns FROM orders", "orders")
+def project_conform(orders):
+    """All columns of the transformed products, of which some are there, some of another type, and the rest missing."""
+    kept = columns.keep_columns("o_orderkey,o_orderstatus|o_clerk,o_totalprice,o_custkey,o_orderpriority")
+    rows = orders.select(*[c for c in orders.columns if c in kept])
+    tags = F.concat(F.lit('["x","'), "o_orderpriority", F.lit('"]'))
+    given = rows.select(F.col("o_orderkey").alias("code"), F.col("o_orderstatus").alias("product_name"), F.col("o_totalprice").cast("string").alias("ecoscore_score"), F.col("o_custkey").cast("string").alias("ingredients_n"), tags.alias("categories_tags"), F.lit("no number").alias("fat_100g"))
+    made = columns.conform(given, TRANSFORMED)
+    return made.select("code", "product_name", "ecoscore_score", "ingredients_n", "categories_tags", "brands", "fat_100g", "salt_100g", F.lit(len(made.columns)).alias("columns"))
+
+
+@query("SELECT 'en:' || replace(lower(n_name), '_', '-') AS tag, 'en:' || replace(lower(n_name), '_', '-') AS canonical, CASE WHEN n_nationkey % 2 = 0 THEN replace(lower(r_name), '_', ' ') END AS role FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'fr:n' || n_nationkey, 'en:' || replace(lower(n_name), '_', '-'), NULL FROM nation")
+def taxonomy_parse(spark, sf_dir):
+    """Nations as additives of a taxonomy's text, whose classes are their regions."""
+    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
+    lines = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey", F.concat(F.lit("# "), "n_nationkey", F.lit("\nsynonyms:en: no, nothing\n< en:above\nen: "), "n_name", F.lit("\nfr: N"), "n_nationkey"),
+        F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("\nadditives_classes: en: en:"), F.replace(F.lower("r_name"), F.lit(" "), F.lit("-")))).otherwise(""),
+    ).toDF("n", "block", "classes")
+    additives = taxonomy.parse_ingredients("\n\n".join(r["block"] + r["classes"] for r in lines.orderBy("n").collect()))  # a taxonomy is a text of some MB
+    classes = taxonomy.parse_ingredients("\n\n".join(f"en: {r['r_name']}" for r in region.collect()))
+    roles = spark.createDataFrame(list(taxonomy.additive_roles(additives, classes).items()), "tag string, role string")
+    return additives.tags(spark).join(roles, "tag", "left")
+
+
 # JSON and trees.
 
 
