@@ -76,11 +76,9 @@ def in_category(c: Catalog, text: str) -> DataFrame:
     return category_links(c).join(hit.select("category_id"), "category_id", "left_semi").select("code")
 
 
-def product_list(c: Catalog, name: str | None = None, brand: str | None = None, ingredient: str | None = None, category: str | None = None, limit: int = LIMIT, wildcards: bool = False) -> DataFrame:
-    """Products that pass every given filter, with the names of their categories as an array, by name (nulls last) and
-    code. wildcards: % and _ in the name and the brand stand for other characters; without it they stand for themselves. The limit comes before the categories are gathered, so that only the listed rows are joined."""
-    if not 1 <= limit <= MAX_LIMIT:
-        raise ValueError(f"limit: 1 to {MAX_LIMIT}")
+def filtered(c: Catalog, name: str | None = None, brand: str | None = None, ingredient: str | None = None, category: str | None = None, wildcards: bool = False) -> DataFrame:
+    """Products that pass every given filter. wildcards: % and _ in the name and the brand stand for other characters; without
+    it they stand for themselves."""
     rows = c.products
     if name:
         rows = rows.where(contains_text("product_name", name, wildcards))
@@ -90,6 +88,15 @@ def product_list(c: Catalog, name: str | None = None, brand: str | None = None,
         rows = rows.join(with_ingredient(c, ingredient), "code", "left_semi")
     if category:
         rows = rows.join(in_category(c, category), "code", "left_semi")
+    return rows
+
+
+def product_list(c: Catalog, name: str | None = None, brand: str | None = None, ingredient: str | None = None, category: str | None = None, limit: int = LIMIT, wildcards: bool = False) -> DataFrame:
+    """Products that pass every given filter (see filtered()), with the names of their categories as an array, by name (nulls
+    last) and code. The limit comes before the categories are gathered, so that only the listed rows are joined."""
+    if not 1 <= limit <= MAX_LIMIT:
+        raise ValueError(f"limit: 1 to {MAX_LIMIT}")
+    rows = filtered(c, name, brand, ingredient, category, wildcards)
     order = [F.col("product_name").asc_nulls_last(), "code"]
     listed = rows.select(*[x for x in LIST_COLUMNS if x in rows.columns]).orderBy(*order).limit(limit)
     links = category_links(c).join(listed.select("code"), "code", "left_semi")

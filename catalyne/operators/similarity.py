@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cosine, euclidean_similarity, grade_value, log_feature, percent, vector
 from ..functions.text import clean_name, normalized, seed_query, semantic_text, strip, tokens
-from .catalog import Catalog, category_links, details, product_list
+from ..sources.files import written
+from .catalog import Catalog, category_links, details, filtered
 
 #: The nutrients that count, in order.
 FEATURES = ["sugars_100g", "carbohydrates_100g", "fat_100g", "proteins_100g", "salt_100g", "fiber_100g"]
@@ -93,6 +97,20 @@ def blend(rows: DataFrame, limit: int | None = None) -> DataFrame:
     return out.limit(limit) if limit else out
 
 
+def candidates(c: Catalog, base: str, filters: Sequence[dict[str, str]], pool: int) -> DataFrame:
+    """(code, pos): a base at 0, then the products of some lists, the first list first, each in its order and once, pool of
+    them at most. A list holds no more than pool products before they are merged."""
+    order = Window.orderBy(F.col("product_name").asc_nulls_last(), "code")  # over one list
+    lists = [filtered(c, **f).select("code", "product_name").orderBy(F.col("product_name").asc_nulls_last(), "code").limit(pool) for f in filters]
+    placed = [rows.select("code", F.struct(F.lit(n).alias("list"), F.row_number().over(order).alias("place")).alias("at")) for n, rows in enumerate(lists)]
+    own = c.products.sparkSession.createDataFrame([(base, 0)], "code string, pos int")
+    if not placed:
+        return own
+    merged = functools.reduce(DataFrame.unionByName, placed).where(F.col("code") != base).groupBy("code").agg(F.min("at").alias("at"))
+    first = merged.orderBy("at").limit(pool)
+    return own.unionByName(first.select("code", F.row_number().over(Window.orderBy("at")).alias("pos")))
+
+
 def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL, fold: bool = True, terms: DataFrame | None = None, embeddings: DataFrame | None = None) -> DataFrame | None:
     """The products most like one, out of a pool that shares its category, words of its name, or its brand; None if there is
     no such product. Scores: text, nutrients, and category hierarchy, one third each. terms (code, terms): normalized
@@ -100,16 +118,12 @@ def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL,
     them, by term weights over base and pool."""
     if not (1 <= limit <= MAX_TOP and MIN_POOL <= pool <= MAX_POOL):
         raise ValueError(f"limit: 1 to {MAX_TOP}; pool: {MIN_POOL} to {MAX_POOL}")
-    spark = c.products.sparkSession
     found = details(c, [code]).select("code", "brands", seed_query(normalized("product_name", fold=fold)).alias("words"), longest_label(F.col("categories.child")).alias("category")).head(1)
     if not found:
         return None
     base = found[0]
     asked = [("category", base["category"]), ("name", base["words"]), ("brand", (base["brands"] or "").strip())]
-    groups = [product_list(c, **{by: text}, limit=pool).select("code") for by, text in asked if text]
-    # Lists hold at most `pool` codes each.
-    codes = dict.fromkeys(r["code"] for g in groups for r in g.collect() if r["code"] != base["code"])
-    wanted = spark.createDataFrame([(x, i) for i, x in enumerate([base["code"], *list(codes)[:pool]])], "code string, pos int")
+    wanted = written(candidates(c, base["code"], [{by: text} for by, text in asked if text], pool), "pool")
     rows = details(c, wanted, keep_pos=True)
     rows = rows.join(hierarchy_context(c, wanted.select("code"), fold), "code", "left")
     if c.aliases is not None and c.product_ingredients is not None:
@@ -119,7 +133,8 @@ def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL,
     has = rows.columns
     listed = lambda name, n=8: F.array_join(F.slice(F.col(name), 1, n), ", ") if name in has else F.lit("")
     rows = rows.withColumns({"category_label": longest_label(F.col("categories.child")), "nutrition": nutrition_vector()})
-    rows = rows.withColumn("text", semantic_text(Nom=F.col("product_name"), Categorie=F.col("category_label"), Ingredients=listed("ingredients"), **{"Ingredients normalises": listed("terms")}, Alias=listed("aliases"))).cache()
+    rows = rows.withColumn("text", semantic_text(Nom=F.col("product_name"), Categorie=F.col("category_label"), Ingredients=listed("ingredients"), **{"Ingredients normalises": listed("terms")}, Alias=listed("aliases")))
+    rows = written(rows, "similar")  # read by the texts' weights, the base and the others
     mine = rows.where(F.col("code") == base["code"]).select(F.col("nutrition").alias("base_nutrition"), F.col("context").alias("base_context"))
     if embeddings is not None:
         vectors = wanted.select("code").join(embeddings.select("code", "embedding"), "code", "left")

@@ -838,9 +838,35 @@ def similar_nutrition_all(spark, sf_dir):
     return p.crossJoin(base).select("code", F.round(numeric.euclidean_similarity("x", "b"), 6).alias("score"))
 
 
-@query()
+def listed_sql(n: int, test: str) -> str:
+    return f"SELECT * FROM (SELECT {n} AS list, row_number() OVER (ORDER BY o.product_name NULLS LAST, o.code) AS place, o.code FROM p o, base b WHERE {test}) WHERE place <= 60"
+
+
+SIMILAR = f"""
+{BLEND.replace("base AS (SELECT * FROM p WHERE brands = 'Brand#2' ORDER BY p_partkey LIMIT 1)", f"base AS (SELECT p.*, {CLEAN.format('p_type')} AS label, array_to_string(({TOKENS.format(NORM.format('product_name'))})[1:2], ' ') AS words FROM p WHERE code = '12')")},
+lists AS ({listed_sql(0, "contains(lower(o.p_type), replace(lower(b.label), ' ', '-'))")} UNION ALL {listed_sql(1, "contains(lower(o.product_name), b.words)")} UNION ALL {listed_sql(2, "contains(lower(o.brands), lower(trim(b.brands)))")}),
+pool AS (SELECT code FROM (SELECT code, min(list * 1000 + place) AS first FROM lists WHERE code <> '12' GROUP BY code) ORDER BY first LIMIT 60),
+parts AS (SELECT l_partkey::VARCHAR AS code, {CLEAN.format('s_name')} AS label, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) AS n FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) JOIN supplier ON l_suppkey = s_suppkey),
+texts AS (SELECT p.code, p.product_name, {CLEAN.format('p_type')} AS label, 'Nom: ' || p.product_name || chr(10) || 'Categorie: ' || {CLEAN.format('p_type')} || coalesce(chr(10) || 'Ingredients: ' || x.named, '') AS text
+  FROM p LEFT JOIN (SELECT code, string_agg(label, ', ' ORDER BY n) AS named FROM parts WHERE n <= 8 GROUP BY 1) x USING (code) WHERE p.code = '12' OR p.code IN (SELECT code FROM pool)),
+split AS (SELECT code, {TOKENS.format(NORM.format('text'))} AS t FROM texts),
+t AS (SELECT code, token, total, count(*) AS n FROM (SELECT code, unnest(t) AS token, len(t) AS total FROM split) GROUP BY 1, 2, 3),
+d AS (SELECT token, count(*) AS df FROM t GROUP BY 1),
+weights AS (SELECT code, t.token, n / total * (ln((1 + (SELECT count(*) FROM texts)) / (1 + df)) + 1) AS weight FROM t JOIN d ON t.token = d.token),
+norms AS (SELECT code, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1),
+dots AS (SELECT w.code, sum(w.weight * b.weight) AS dot FROM weights w JOIN weights b ON w.token = b.token WHERE b.code = '12' GROUP BY 1),
+scores AS (SELECT x.code, x.product_name, x.label AS category_label, coalesce(dot / (norm * (SELECT norm FROM norms WHERE code = '12')), 0) AS ts,
+    greatest(0, 1 - list_distance(v.x, bv.x) / (sqrt(list_dot_product(v.x, v.x)) + sqrt(list_dot_product(bv.x, bv.x)))) AS ns, CASE WHEN x.label = base.label THEN 1.0 ELSE 0.0 END::DOUBLE AS cs
+  FROM texts x JOIN v USING (code), base, (SELECT x FROM v WHERE code = '12') bv LEFT JOIN norms ON norms.code = x.code LEFT JOIN dots ON dots.code = x.code WHERE x.code <> '12')
+SELECT code, product_name, category_label, round((ts + ns + cs) / 3, 4) AS similarity_score, round((ts + ns + cs) / 3 * 100)::INTEGER AS overall_similarity_pct,
+  round(ts * 100)::INTEGER AS text_similarity_pct, round(ns * 100)::INTEGER AS nutrition_similarity_pct, round(cs * 100)::INTEGER AS category_similarity_pct
+FROM scores ORDER BY similarity_score DESC, product_name, code LIMIT 12
+"""
+
+
+@query(SIMILAR)
 def similar_products(spark, sf_dir):
-    """Rows only: the pool is made of three limited lists."""
+    """One product against a pool of sixty, which shares its category, its words or its brand."""
     rows = similarity.similar_products(catalog(spark, sf_dir), "12", limit=12, pool=60, fold=False)
     return rows.select("code", "product_name", "category_label", "similarity_score", "overall_similarity_pct", "text_similarity_pct", "nutrition_similarity_pct", "category_similarity_pct")
 
