@@ -226,7 +226,7 @@ def lookup_candidates(spark, sf_dir):
     third, fifth = F.col("p_partkey") % 3 == 0, F.col("p_partkey") % 5 == 0
     nodes = p.select("p_partkey", F.when(third | fifth, F.concat(F.lit(" "), F.upper("p_brand"))).alias("id"), F.when(~third, F.col("p_name")).alias("text"))
     tags = spark.createDataFrame([("en:red-widget", "known:red-widget"), ("fr:small-ring", "known:small-ring")], "tag string, canonical string")
-    return ingredients.resolved(nodes, tags, fold=False).select("p_partkey", "tag")
+    return ingredients.tagged(nodes, tags, "id", "text", "tag", fold=False).select("p_partkey", "tag")
 
 
 @query("SELECT v.vec_id, round(list_dot_product(v.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[])) * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 6) AS score FROM embeddings v, (SELECT * FROM embeddings WHERE vec_id = 0) b WHERE v.vec_id <> 0", "embeddings")
