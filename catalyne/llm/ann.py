@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -21,6 +21,8 @@ DEGREE, BUILD_BEAM, ALPHA = 32, 48, 1.2
 BEAM = 128
 #: Points that are inserted, and queries that are searched, at once.
 BATCH = 256
+#: Digits of a cosine that decide a place.
+DIGITS = 12
 
 
 def beam_search(vectors: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,10 +112,23 @@ def build(vectors: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alp
     return graph, entry
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that leads its largest component to 0.5 to 1: exact, so that cosines are those of
+    the vectors as they were given, and no square overflows or vanishes that counts."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, initial=0))
+    return np.ldexp(x, -exponent[:, None])
+
+
 def units(x: np.ndarray) -> np.ndarray:
+    """As unit vectors, from scaled ones."""
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of the rows of scaled vectors x with y, in double precision."""
+    return np.clip(np.einsum("...d,...d->...", x, y) / np.sqrt(np.einsum("...d,...d->...", x, x) * np.einsum("...d,...d->...", y, y)), -1, 1)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the vectors that take part: an id, and no null, zero or non-finite among the components."""
     v = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null")
@@ -121,22 +136,37 @@ def usable(vectors: DataFrame) -> DataFrame:
     return v.where(finite & F.exists("embedding", lambda x: x != 0))
 
 
-def graphs(vectors: DataFrame, keep: int, shard: int = SHARD) -> DataFrame:
-    """(shard, dim, node, entry, ids, embedding, neighbours): every different vector once, with the keep smallest of its
-    ids, in the graph of its shard. Copies of a vector collapse before any task holds them."""
-    copy = Window.partitionBy("embedding").orderBy("vec_id")
-    few = vectors.withColumn("_rank", F.row_number().over(copy)).where(F.col("_rank") <= keep)
-    classes = written(few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vectors")
+def direction() -> Column:
+    """A digest of a vector's direction: its components against the largest, in steps of 2**-40. Multiples of a vector share
+    it, rounded as they may be."""
+    largest = F.array_max(F.transform("embedding", F.abs))
+    return F.sha2(F.transform("embedding", lambda x: F.rint(x / largest * float(2**40)).cast("long")).cast("string"), 256)
+
+
+def graphs(vectors: DataFrame, keep: int, shard: int = SHARD) -> tuple[DataFrame, int]:
+    """((shard, dim, node, entry, ids, embedding, neighbours), number of shards): every direction once, in the graph of its
+    shard, with the keep smallest of its ids and their vectors one after the other. Copies and multiples of a vector collapse
+    before any task holds them."""
+    copy = Window.partitionBy("direction").orderBy("vec_id", "embedding")
+    few = vectors.withColumn("direction", direction()).withColumn("_rank", F.row_number().over(copy)).where(F.col("_rank") <= keep)
+    listed = F.array_sort(F.collect_list(F.struct("vec_id", "embedding")))
+    grouped = few.groupBy("direction", F.size("embedding").alias("dim")).agg(listed.alias("l"))
+    classes = written(grouped.select("direction", "dim", F.col("l.vec_id").alias("ids"), F.flatten("l.embedding").alias("embedding")), "vectors")
     shards = max(1, -(-classes.count() // shard))
-    dealt = classes.withColumn("dim", F.size("embedding")).withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
+    dealt = classes.withColumn("shard", F.pmod(F.xxhash64("direction"), F.lit(shards)).cast("int"))
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ids", key=lambda c: c.map(lambda x: x[0])).reset_index(drop=True)
-        graph, entry = build(units(np.stack(rows["embedding"])))
+        rows = rows.sort_values("direction").reset_index(drop=True)
+        graph, entry = build(units(scaled(leaders(rows))))
         return rows.assign(node=np.arange(len(rows), dtype=np.int32), entry=np.int32(entry), neighbours=list(graph.astype(np.int32)))[["shard", "dim", "node", "entry", "ids", "embedding", "neighbours"]]
 
     kind = "shard int, dim int, node int, entry int, ids array<long>, embedding array<double>, neighbours array<int>"
-    return written(dealt.groupBy("shard", "dim").applyInPandas(one, kind), "graphs")
+    return written(dealt.groupBy("shard", "dim").applyInPandas(one, kind), "graphs"), shards
+
+
+def leaders(rows: pd.DataFrame) -> np.ndarray:
+    """The first vector of each node."""
+    return np.stack([x[:d] for x, d in zip(rows["embedding"], rows["dim"])])
 
 
 class Shard:
@@ -144,44 +174,48 @@ class Shard:
 
     def __init__(self, rows: pd.DataFrame):
         rows = rows.sort_values("node")
-        self.exact = np.stack(rows["embedding"])
+        self.exact = scaled(leaders(rows))
         self.vectors, self.graph, self.entry = units(self.exact), np.stack(rows["neighbours"]), int(rows["entry"].iloc[0])
-        self.norms, self.ids = np.sqrt((self.exact * self.exact).sum(axis=1)), rows["ids"].to_numpy()
+        self.ids, self.members = rows["ids"].to_numpy(), rows["embedding"].to_numpy()
 
     def search(self, queries: pd.DataFrame, k: int, beam: int) -> pd.DataFrame:
-        """The k nearest of each query: the beam's members, ranked anew by the cosine in double precision."""
+        """The k nearest of each query: the beam's members, ranked anew by the cosine in double precision. Members of a node
+        have one place, by the cosine of the first; each has a score of its own."""
         out = []
         for at in range(0, len(queries), BATCH):
             part = queries.iloc[at : at + BATCH]
-            asked = np.stack(part["embedding"])
+            asked = scaled(np.stack(part["embedding"]))
             found, _, _ = beam_search(self.vectors, self.graph, self.entry, units(asked), beam)
-            score = np.einsum("qkd,qd->qk", self.exact[found], asked) / (self.norms[found] * np.sqrt((asked * asked).sum(axis=1))[:, None])
-            score = np.where(found >= 0, score, -np.inf)
+            place = np.where(found >= 0, np.round(cosines(self.exact[found], asked[:, None]), DIGITS), -np.inf)
             for i, own in enumerate(part["query_id"].to_numpy()):
-                got: list[tuple[float, int]] = []
-                for j in np.argsort(-score[i], kind="stable"):
-                    if found[i, j] < 0 or (len(got) >= k and score[i, j] < sorted(got)[k - 1][0] * -1):
+                got: list[tuple[float, int, int, int]] = []
+                for j in np.argsort(-place[i], kind="stable"):
+                    if found[i, j] < 0 or (len(got) >= k and place[i, j] < -sorted(got)[k - 1][0]):
                         break
-                    got += [(-score[i, j], v) for v in self.ids[found[i, j]] if v != own]
-                out += [(own, v, -s) for s, v in sorted(got)[:k]]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": float})
+                    got += [(-place[i, j], v, found[i, j], m) for m, v in enumerate(self.ids[found[i, j]]) if v != own]
+                best = sorted(got)[:k]
+                if best:
+                    each = np.stack([self.members[node].reshape(-1, asked.shape[1])[m] for _, _, node, m in best])
+                    out += [(own, v, -p, s) for (p, v, _, _), s in zip(best, cosines(scaled(each), asked[i]))]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "place", "score"]).astype({"query_id": "int64", "vec_id": "int64", "place": float, "score": float})
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHARD, beam: int = BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score): the k vectors of each query with the largest cosine that the graphs find, nearest
-    first, ties to the smaller vec_id; a query isn't its own neighbour. Scores are equal if they are so to the last bit.
+    first, ties to the smaller vec_id; a query isn't its own neighbour. Scores tie if they are equal to twelve digits, which
+    is what sums of rounded products can tell apart: multiples of a vector tie, as their cosines are the same.
 
     vectors, queries: (vec_id, embedding). Every vector is in the graph of one shard and every shard is asked: a task reads
-    a shard's graph, then any number of queries, some hundred at a time. Vectors with a null id, null, zero or with null or
-    non-finite components take no part, on either side; vectors of different lengths aren't compared; repeated rows count
-    once. Fewer vectors than k: all of them. An empty table gives no rows; other columns are ignored.
+    a shard's graph, then any number of queries, some hundred at a time. Copies and multiples of a vector are one node, which
+    answers with the smallest ids, however many there are. Components can be of any finite size. Vectors with a null id, null,
+    zero or with null or non-finite components take no part, on either side; vectors of different lengths aren't compared;
+    repeated rows count once. Fewer vectors than k: all of them. An empty table gives no rows; other columns are ignored.
     """
-    graph = graphs(usable(vectors).distinct(), k + 1, shard)
-    shards = graph.select("shard", "dim").distinct()
-    asked = usable(queries).distinct().select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("dim")).join(shards, "dim")
+    graph, shards = graphs(usable(vectors).distinct(), k + 1, shard)
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    asked = usable(queries).distinct().select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("dim"), every)
     held = graph.select("shard", "dim", F.lit(0).alias("kind"), "node", "entry", "ids", "embedding", "neighbours", F.lit(None).cast("long").alias("query_id"))
     both = held.unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    n = max(1, shards.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, index = None, [], None
@@ -192,13 +226,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHA
                 if kind == 0:
                     rows.append(part)
                     continue
-                if index is None:
+                if index is None and rows:
                     index, rows = Shard(pd.concat(rows)), []
-                yield pa.RecordBatch.from_pandas(index.search(part, k, beam), preserve_index=False)
+                if index is not None:  # a shard may hold no vector of this length
+                    yield pa.RecordBatch.from_pandas(index.search(part, k, beam), preserve_index=False)
 
-    dealt = both.repartition(n, "shard", "dim").sortWithinPartitions("shard", "dim", "kind")
-    found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    dealt = both.repartition(shards, "shard", "dim").sortWithinPartitions("shard", "dim", "kind")
+    found = dealt.mapInArrow(run, "query_id long, vec_id long, place double, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
