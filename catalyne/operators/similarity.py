@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import cosine, euclidean_similarity, grade_value, log_feature, percent, vector
 from ..functions.text import clean_name, normalized, seed_query, semantic_text, strip, tokens
 from ..sources.files import written
-from .catalog import Catalog, category_links, details, filtered
+from .catalog import Catalog, category_links, details, requested
 
 #: The nutrients that count, in order.
 FEATURES = ["sugars_100g", "carbohydrates_100g", "fat_100g", "proteins_100g", "salt_100g", "fiber_100g"]
@@ -19,6 +18,8 @@ FEATURES = ["sugars_100g", "carbohydrates_100g", "fat_100g", "proteins_100g", "s
 SAME, SIBLING, RELATED = 1.0, 0.7, 0.4
 #: Bounds and defaults of a request.
 TOP, MAX_TOP, POOL, MIN_POOL, MAX_POOL = 4, 12, 20, 8, 120
+#: Characters in a row by which texts are found within others.
+GRAM = 3
 
 
 def term_weights(docs: DataFrame, key: str = "doc", text: str = "text", fold: bool = True) -> DataFrame:
@@ -88,62 +89,122 @@ def alias_names(c: Catalog, codes: DataFrame, most: int = 8, fold: bool = True)
     return once.groupBy("code").agg(listed.alias("l")).select("code", F.slice(F.col("l.label"), 1, most).alias("aliases"))
 
 
-def blend(rows: DataFrame, limit: int | None = None) -> DataFrame:
-    """rows with the three similarities, in percent and as one score, best first, then by name and code."""
+def blended(rows: DataFrame) -> DataFrame:
+    """rows with the three similarities, in percent and as one score."""
     parts = ["text_similarity", "nutrition_similarity", "category_similarity"]
     score = sum((F.col(p) for p in parts), F.lit(0.0)) / 3.0
-    out = rows.withColumns({"similarity_score": F.round(score, 4), "overall_similarity_pct": percent(score), **{p.replace("_similarity", "_similarity_pct"): percent(p) for p in parts}})
-    out = out.orderBy(F.desc("similarity_score"), F.coalesce("product_name", F.lit("")), "code")
-    return out.limit(limit) if limit else out
-
-
-def candidates(c: Catalog, base: str, filters: Sequence[dict[str, str]], pool: int) -> DataFrame:
-    """(code, pos): a base at 0, then the products of some lists, the first list first, each in its order and once, pool of
-    them at most. A list holds no more than pool products before they are merged."""
-    order = Window.orderBy(F.col("product_name").asc_nulls_last(), "code")  # over one list
-    lists = [filtered(c, **f).select("code", "product_name").orderBy(F.col("product_name").asc_nulls_last(), "code").limit(pool) for f in filters]
-    placed = [rows.select("code", F.struct(F.lit(n).alias("list"), F.row_number().over(order).alias("place")).alias("at")) for n, rows in enumerate(lists)]
-    own = c.products.sparkSession.createDataFrame([(base, 0)], "code string, pos int")
-    if not placed:
-        return own
-    merged = functools.reduce(DataFrame.unionByName, placed).where(F.col("code") != base).groupBy("code").agg(F.min("at").alias("at"))
-    first = merged.orderBy("at").limit(pool)
-    return own.unionByName(first.select("code", F.row_number().over(Window.orderBy("at")).alias("pos")))
-
-
-def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL, fold: bool = True, terms: DataFrame | None = None, embeddings: DataFrame | None = None) -> DataFrame | None:
-    """The products most like one, out of a pool that shares its category, words of its name, or its brand; None if there is
-    no such product. Scores: text, nutrients, and category hierarchy, one third each. terms (code, terms): normalized
-    ingredient terms from elsewhere, as a part of the texts. embeddings (code, embedding): text is compared by these; without
-    them, by term weights over base and pool."""
+    return rows.withColumns({"similarity_score": F.round(score, 4), "overall_similarity_pct": percent(score), **{p.replace("_similarity", "_similarity_pct"): percent(p) for p in parts}})
+
+
+def grams(text: Column, n: Column | int) -> Column:
+    """The different parts of n characters that a text has."""
+    starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+    return F.when(F.length(text) >= n, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, n)))).otherwise(F.array().cast("array<string>"))
+
+
+def containing(hays: DataFrame, texts: DataFrame) -> DataFrame:
+    """(wanted, hay): which of some texts (wanted), none of them empty, are within which of some others (hay). A text is held
+    only against those that have its rarest three characters in a row; a shorter one, all of its own."""
+    size = F.least(F.length("wanted"), F.lit(GRAM))
+    asked = texts.select("wanted").distinct().select("wanted", F.explode(grams(F.col("wanted"), size)).alias("gram"))
+    every = F.concat(*[grams(F.col("hay"), n) for n in range(1, GRAM + 1)])
+    has = hays.select("hay").where("hay is not null").distinct().select("hay", F.explode(every).alias("gram")).join(asked.select("gram").distinct(), "gram", "left_semi")
+    many = asked.join(has.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
+    rarest = many.groupBy("wanted").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"].alias("gram"))
+    return rarest.join(has, "gram").where(F.contains("hay", "wanted")).select("wanted", "hay")
+
+
+def listed(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """(wanted, code, place): for each text the first products by name (nulls last) and code whose hay contains it. rows:
+    (hay, code, product_name). Of a hay no more than most products can count, and no more are joined."""
+    order = [F.col("product_name").asc_nulls_last(), "code"]
+    first = lambda df, by: df.withColumn("place", F.dense_rank().over(Window.partitionBy(by).orderBy(*order))).where(F.col("place") <= most)
+    heads = first(rows, "hay").drop("place")
+    return first(containing(rows, texts).join(heads, "hay"), "wanted").select("wanted", "code", "place").distinct()
+
+
+def pools(c: Catalog, seeds: DataFrame, pool: int) -> DataFrame:
+    """(base, code, pos): each base at 0, then the products that share its category, words of its name, or its brand, in this
+    order of lists, each list in order of names and each product once, pool of them at most. A list holds no more than pool
+    products before they are merged. seeds: (code, category, words, brand), a base a row; no text: no such list."""
+    products = c.products.select(strip(F.col("code").cast("string")).alias("code"), "product_name", "brands")
+    categories = category_links(c).withColumn("code", strip(F.col("code").cast("string"))).join(c.categories.select("category_id", F.lower("category_name").alias("hay")), "category_id").select("code", "hay")
+    asked = {
+        "category": (F.replace(F.lower("category"), F.lit(" "), F.lit("-")), categories.join(products, "code")),
+        "words": (F.lower("words"), products.withColumn("hay", F.lower("product_name"))),
+        "brand": (F.lower("brand"), products.withColumn("hay", F.lower("brands"))),
+    }
+    found = []
+    for n, (wanted, rows) in enumerate(asked.values()):
+        mine = seeds.select(F.col("code").alias("base"), wanted.alias("wanted")).where("wanted <> ''")
+        places = listed(rows.select("hay", "code", "product_name"), mine, pool)
+        found.append(mine.join(places, "wanted").where("code <> base").select("base", "code", F.struct(F.lit(n).alias("list"), "place").alias("at")))
+    merged = functools.reduce(DataFrame.unionByName, found).groupBy("base", "code").agg(F.min("at").alias("at"))
+    ranked = merged.withColumn("pos", F.row_number().over(Window.partitionBy("base").orderBy("at"))).where(F.col("pos") <= pool)
+    return seeds.select(F.col("code").alias("base"), "code", F.lit(0).alias("pos")).unionByName(ranked.select("base", "code", "pos"))
+
+
+def pool_text_scores(pool: DataFrame, texts: DataFrame, fold: bool = True) -> DataFrame:
+    """(base, code, text_similarity): text_scores() of each base within its own pool, which is all that its weights know;
+    documents that share no token with their base are left out. pool: (base, code); texts: (code, text)."""
+    rows = texts.where(strip("text") != "").select("code", tokens(normalized("text", fold=fold)).alias("t"))
+    docs = pool.join(rows.select("code"), "code").groupBy("base").agg(F.count("*").alias("docs"))
+    share = rows.select("code", F.size("t").alias("total"), F.explode("t").alias("token")).groupBy("code", "total", "token").agg(F.count("*").alias("n"))
+    each = pool.join(share.select("code", "token", (F.col("n") / F.col("total")).alias("share")), "code").join(docs, "base")
+    term = Window.partitionBy("base", "token")
+    weights = each.withColumn("weight", F.col("share") * (F.log((1 + F.col("docs")) / (1 + F.count("*").over(term))) + 1))
+    both = weights.withColumn("base_weight", F.max(F.when(F.col("code") == F.col("base"), F.col("weight"))).over(term))
+    sums = both.groupBy("base", "code").agg(F.sum(F.col("weight") * F.col("base_weight")).alias("dot"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    length = F.max(F.when(F.col("code") == F.col("base"), F.col("norm"))).over(Window.partitionBy("base"))
+    return sums.withColumn("base_norm", length).where("code <> base and dot is not null").select("base", "code", (F.col("dot") / (F.col("norm") * F.col("base_norm"))).alias("text_similarity"))
+
+
+def similar_to(c: Catalog, codes: DataFrame, limit: int = TOP, pool: int = POOL, fold: bool = True, terms: DataFrame | None = None, embeddings: DataFrame | None = None) -> DataFrame:
+    """The products most like each of some (code), in one plan: (base, rank from 1, the product with its similarities), best
+    first, then by name and code. Each is chosen out of a pool that shares the base's category, words of its name, or its
+    brand. Scores: text, nutrients, and category hierarchy, one third each. terms (code, terms): normalized ingredient terms
+    from elsewhere, as a part of the texts. embeddings (code, embedding): text is compared by these; without them, by term
+    weights over base and pool. Unknown codes and repeated ones give no more rows; a base without others gives none."""
     if not (1 <= limit <= MAX_TOP and MIN_POOL <= pool <= MAX_POOL):
         raise ValueError(f"limit: 1 to {MAX_TOP}; pool: {MIN_POOL} to {MAX_POOL}")
-    found = details(c, [code]).select("code", "brands", seed_query(normalized("product_name", fold=fold)).alias("words"), longest_label(F.col("categories.child")).alias("category")).head(1)
-    if not found:
-        return None
-    base = found[0]
-    asked = [("category", base["category"]), ("name", base["words"]), ("brand", (base["brands"] or "").strip())]
-    wanted = written(candidates(c, base["code"], [{by: text} for by, text in asked if text], pool), "pool")
-    rows = details(c, wanted, keep_pos=True)
-    rows = rows.join(hierarchy_context(c, wanted.select("code"), fold), "code", "left")
+    asked = codes.select(strip(F.col("code").cast("string")).alias("code"), F.lit(0).alias("pos")).where("code <> ''").distinct()
+    seeds = details(c, asked).select("code", longest_label(F.col("categories.child")).alias("category"), seed_query(normalized("product_name", fold=fold)).alias("words"), strip("brands").alias("brand"))
+    wanted = written(pools(c, written(seeds, "seeds"), pool), "pool")
+    own = wanted.select("code").distinct()
+    rows = details(c, own.withColumn("pos", F.lit(0)))
+    rows = rows.join(hierarchy_context(c, own, fold), "code", "left")
     if c.aliases is not None and c.product_ingredients is not None:
-        rows = rows.join(alias_names(c, wanted.select("code"), fold=fold), "code", "left")
+        rows = rows.join(alias_names(c, own, fold=fold), "code", "left")
     if terms is not None:
         rows = rows.join(terms.select("code", "terms"), "code", "left")
     has = rows.columns
-    listed = lambda name, n=8: F.array_join(F.slice(F.col(name), 1, n), ", ") if name in has else F.lit("")
+    named = lambda name, n=8: F.array_join(F.slice(F.col(name), 1, n), ", ") if name in has else F.lit("")
     rows = rows.withColumns({"category_label": longest_label(F.col("categories.child")), "nutrition": nutrition_vector()})
-    rows = rows.withColumn("text", semantic_text(Nom=F.col("product_name"), Categorie=F.col("category_label"), Ingredients=listed("ingredients"), **{"Ingredients normalises": listed("terms")}, Alias=listed("aliases")))
-    rows = written(rows, "similar")  # read by the texts' weights, the base and the others
-    mine = rows.where(F.col("code") == base["code"]).select(F.col("nutrition").alias("base_nutrition"), F.col("context").alias("base_context"))
+    rows = rows.withColumn("text", semantic_text(Nom=F.col("product_name"), Categorie=F.col("category_label"), Ingredients=named("ingredients"), **{"Ingredients normalises": named("terms")}, Alias=named("aliases")))
+    rows = written(rows, "similar")  # read by the texts' weights, the bases and the others
+    others = wanted.where("code <> base").select("base", "code")
     if embeddings is not None:
-        vectors = wanted.select("code").join(embeddings.select("code", "embedding"), "code", "left")
-        texts = embedding_scores(vectors, base["code"], "code")
+        vectors = own.join(embeddings, "code").groupBy("code").agg(F.min("embedding").alias("embedding"))
+        two = others.join(vectors, "code").join(vectors.select(F.col("code").alias("base"), F.col("embedding").alias("base_embedding")), "base")
+        texts = two.select("base", "code", cosine("embedding", "base_embedding").alias("text_similarity"))
     else:
-        texts = text_scores(rows.select("code", "text"), base["code"], "code", fold=fold)
-    others = rows.where(F.col("code") != base["code"]).join(texts, "code").crossJoin(F.broadcast(mine))
-    scored = others.withColumns({"nutrition_similarity": euclidean_similarity("nutrition", "base_nutrition"), "category_similarity": hierarchy_score("context", "base_context")})
-    return blend(scored.drop("pos", "nutrition", "context", "base_nutrition", "base_context", "text"), limit)
+        texts = pool_text_scores(wanted.select("base", "code"), rows.select("code", "text"), fold)
+    mine = rows.select(F.col("code").alias("base"), F.col("nutrition").alias("base_nutrition"), F.col("context").alias("base_context"))
+    # Ranks come from the numbers alone; the other columns are joined to the few that are left.
+    numbers = others.join(rows.select("code", "product_name", "nutrition", "context"), "code").join(mine, "base").join(texts, ["base", "code"], "left")
+    similar = {"text_similarity": F.coalesce("text_similarity", F.lit(0.0)), "nutrition_similarity": euclidean_similarity("nutrition", "base_nutrition"), "category_similarity": hierarchy_score("context", "base_context")}
+    scored = blended(numbers.withColumns(similar)).drop("nutrition", "context", "base_nutrition", "base_context")
+    best = Window.partitionBy("base").orderBy(F.desc("similarity_score"), F.coalesce("product_name", F.lit("")), "code")
+    top = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit).drop("product_name")
+    return top.join(rows.drop("nutrition", "context", "text"), "code")
+
+
+def similar_products(c: Catalog, code: str, limit: int = TOP, pool: int = POOL, fold: bool = True, terms: DataFrame | None = None, embeddings: DataFrame | None = None) -> DataFrame | None:
+    """similar_to() of one product, best first; None if there is no such product."""
+    asked = requested(c.products.sparkSession, [code]).select("code")
+    if c.products.select(strip(F.col("code").cast("string")).alias("code")).join(F.broadcast(asked), "code", "left_semi").isEmpty():
+        return None
+    return similar_to(c, asked, limit, pool, fold, terms, embeddings).orderBy("rank").drop("base", "rank")
 
 
 def first_terms(rows: DataFrame, key: str, term: str, order: str, most: int, fold: bool = True) -> DataFrame:

@@ -871,6 +871,42 @@ def similar_products(spark, sf_dir):
     return rows.select("code", "product_name", "category_label", "similarity_score", "overall_similarity_pct", "text_similarity_pct", "nutrition_similarity_pct", "category_similarity_pct")
 
 
+
+def pool_sql(n: int, test: str) -> str:
+    return f"SELECT * FROM (SELECT {n} AS list, row_number() OVER (PARTITION BY b.code ORDER BY o.product_name NULLS LAST, o.code) AS place, b.code AS base, o.code FROM p o, base b WHERE {test}) WHERE place <= 20"
+
+
+#: As SIMILAR, with every part as a base.
+SIMILAR_ALL = f"""
+{BLEND.replace("base AS (SELECT * FROM p WHERE brands = 'Brand#2' ORDER BY p_partkey LIMIT 1)", f"base AS (SELECT p.*, {CLEAN.format('p_type')} AS label, array_to_string(({TOKENS.format(NORM.format('product_name'))})[1:2], ' ') AS words FROM p)")},
+lists AS ({pool_sql(0, "contains(lower(o.p_type), replace(lower(b.label), ' ', '-'))")} UNION ALL {pool_sql(1, "b.words <> '' AND contains(lower(o.product_name), b.words)")} UNION ALL {pool_sql(2, "trim(b.brands) <> '' AND contains(lower(o.brands), lower(trim(b.brands)))")}),
+pool AS (SELECT base, code FROM (SELECT base, code, min(list * 1000 + place) AS first FROM lists WHERE code <> base GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY base ORDER BY first) <= 20 UNION ALL SELECT code, code FROM base),
+parts AS (SELECT l_partkey::VARCHAR AS code, {CLEAN.format('s_name')} AS label, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) AS n FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) JOIN supplier ON l_suppkey = s_suppkey),
+texts AS (SELECT p.code, p.product_name, {CLEAN.format('p_type')} AS label, 'Nom: ' || p.product_name || chr(10) || 'Categorie: ' || {CLEAN.format('p_type')} || coalesce(chr(10) || 'Ingredients: ' || x.named, '') AS text
+  FROM p LEFT JOIN (SELECT code, string_agg(label, ', ' ORDER BY n) AS named FROM parts WHERE n <= 8 GROUP BY 1) x USING (code)),
+split AS (SELECT code, {TOKENS.format(NORM.format('text'))} AS t FROM texts),
+t AS (SELECT code, token, total, count(*) AS n FROM (SELECT code, unnest(t) AS token, len(t) AS total FROM split) GROUP BY 1, 2, 3),
+each AS (SELECT base, t.* FROM pool JOIN t USING (code)),
+d AS (SELECT base, token, count(*) AS df FROM each GROUP BY 1, 2),
+docs AS (SELECT base, count(*) AS docs FROM pool GROUP BY 1),
+weights AS (SELECT e.base, e.code, e.token, n / total * (ln((1 + docs) / (1 + df)) + 1) AS weight FROM each e JOIN d ON e.base = d.base AND e.token = d.token JOIN docs ON e.base = docs.base),
+norms AS (SELECT base, code, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1, 2),
+dots AS (SELECT w.base, w.code, sum(w.weight * b.weight) AS dot FROM weights w JOIN weights b ON w.token = b.token AND w.base = b.base AND b.code = b.base GROUP BY 1, 2),
+scores AS (SELECT q.base, x.code, x.product_name, coalesce(dot / (n.norm * m.norm), 0) AS ts,
+    greatest(0, 1 - list_distance(v.x, bv.x) / (sqrt(list_dot_product(v.x, v.x)) + sqrt(list_dot_product(bv.x, bv.x)))) AS ns, CASE WHEN x.label = y.label THEN 1.0 ELSE 0.0 END::DOUBLE AS cs
+  FROM pool q JOIN texts x ON x.code = q.code JOIN v ON v.code = q.code JOIN v bv ON bv.code = q.base JOIN texts y ON y.code = q.base
+    LEFT JOIN norms n ON n.base = q.base AND n.code = q.code LEFT JOIN norms m ON m.base = q.base AND m.code = q.base LEFT JOIN dots ON dots.base = q.base AND dots.code = q.code WHERE q.code <> q.base),
+best AS (SELECT base, code, round((ts + ns + cs) / 3, 4) AS similarity_score, row_number() OVER (PARTITION BY base ORDER BY round((ts + ns + cs) / 3, 4) DESC, product_name, code) AS rank FROM scores)
+SELECT base, rank::INTEGER AS rank, code, similarity_score FROM best WHERE rank <= 4
+"""
+
+
+@query(SIMILAR_ALL)
+def similar_products_all(spark, sf_dir):
+    """Every part against a pool of twenty of its own, in one plan."""
+    c = catalog(spark, sf_dir)
+    return similarity.similar_to(c, c.products, fold=False).select("base", "rank", "code", "similarity_score")
+
 FIELD = "CASE WHEN f = 'red widget' THEN 1.0 WHEN contains(f, 'red widget') OR replace(f, ' ', '') = 'redwidget' THEN 0.95 WHEN contains(replace(f, ' ', ''), 'redwidget') THEN 0.9 WHEN share >= 1 THEN 0.9 ELSE share END"
 
 
