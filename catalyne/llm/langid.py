@@ -7,14 +7,17 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, small_batches, worker_cache, written
+from .common import small_batches, worker_cache
 
 #: Bound of the training sample: rows a language, by a hash of doc_id.
 SAMPLE_ROWS = 250
+#: Languages that a model can have: each has a probability for every piece, in every task.
+MOST_LANGS = 256
 #: Rounds of expectation-maximisation.
 ROUNDS = 3
 #: Letters of words that are scored at once, and places of a long word that are looked at together.
@@ -195,10 +198,14 @@ def fit(counts: dict[str, int], lattice: Lattice, n_pieces: int, rounds: int = R
 
 def train(rows: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """(languages, pieces x languages) from rows (doc_id, text, lang), of which about sample_rows a language are read
-    through, chosen by a hash of doc_id, and all of their words counted. Rows with a null text or lang teach nothing; no
-    such rows: no languages."""
+    through, chosen by a hash of doc_id, and all of their words counted. Languages are fitted side by side, each by one
+    task. Rows with a null text or lang teach nothing, repeated rows teach again; no such rows: no languages; more than
+    MOST_LANGS values of lang: an error, as the model has a column for each."""
     rows = rows.where("text is not null and lang is not null").select(F.col("doc_id").cast("string").alias("doc"), "text", F.col("lang").cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    found = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()
+    if len(found) > MOST_LANGS:
+        raise ValueError(f"lang has more than {MOST_LANGS} values: a model of each would not fit a task")
+    sizes = {r["lang"]: r["n"] for r in found}
     langs = sorted(sizes)
     if not langs:
         return [], np.zeros((0, 0))
@@ -206,14 +213,19 @@ def train(rows: DataFrame, vocabulary_path: str, sample_rows: int = SAMPLE_ROWS)
     share = F.create_map(*[F.lit(x) for l in langs for x in (l, min(1.0, sample_rows / sizes[l]))])
     part = rows.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
     words = part.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word"))
-    counted = written(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
-    counts: dict[str, dict[str, int]] = {l: {} for l in langs}
-    for r in counted.orderBy("lang", "word").toLocalIterator():  # as many words as the sample's rows have
-        counts[r["lang"]][r["word"]] = r["n"]
-    discard(counted)
-    pieces = vocabulary(vocabulary_path)
-    lattice = Lattice(pieces)
-    return langs, np.stack([fit(counts[l], lattice, len(pieces)) for l in langs], axis=1)
+    counted = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    n_pieces = len(vocabulary(vocabulary_path))
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:  # as many words as the sample's rows of a language have
+        rows = rows.sort_values("word")
+        lattice = worker_cache(f"langid lattice {vocabulary_path}", lambda: Lattice(vocabulary(vocabulary_path)))
+        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "probs": [fit(dict(zip(rows["word"], rows["n"])), lattice, n_pieces)]})
+
+    # Partitions that adaptive execution doesn't merge, so that languages are fitted side by side.
+    fitted = counted.repartition(4 * len(langs), "lang").groupBy("lang").applyInPandas(one, "lang string, probs array<double>")
+    known = {r["lang"]: np.array(r["probs"]) for r in fitted.collect()}
+    untaught = np.full(n_pieces, 1 / max(n_pieces, 1))  # texts without a word
+    return langs, np.stack([known.get(l, untaught) for l in langs], axis=1)
 
 
 def predict(docs: DataFrame, langs: list[str], probs: np.ndarray, vocabulary_path: str) -> DataFrame:
@@ -225,10 +237,9 @@ def predict(docs: DataFrame, langs: list[str], probs: np.ndarray, vocabulary_pat
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     docs = docs.select(*names, F.col("text").cast("string").alias("_text"))
     place = {c: i for i, c in enumerate(docs.columns)}
-    key = f"langid {hash(probs.tobytes())}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = worker_cache(key, lambda: Lattice(vocabulary(vocabulary_path)))
+        lattice = worker_cache(f"langid lattice {vocabulary_path}", lambda: Lattice(vocabulary(vocabulary_path)))
         known: dict[str, int] = {}
         table = np.zeros((0, len(langs)))
         for b in batches:
