@@ -1,8 +1,9 @@
-"""SimHash near-dedup at a similarity of 0.8: documents meet by the smallest hashes of their shingles and by their rarest
-shingles, SimHash fingerprints leave out what can't be near, and the exact similarity of the shingles decides.
+"""SimHash near-dedup at a similarity of 0.8: fingerprints at a small distance are linked as op5 links them, and the exact
+similarity of the shingles decides.
 
-SimHash blocks alone can't find pairs of a similarity of 0.8: some 10 of 64 bits differ there, and up to 24, beyond any
-number of equal blocks."""
+Blocks of bits alone can't find all pairs of a similarity of 0.8: some 10 of 64 bits differ there, and up to 24, beyond any
+number of equal blocks. So documents also meet by the smallest hashes of their shingles and by their rarest shingles;
+fingerprints leave out what can't be near, and the exact similarity decides there as well."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import components, discard, one_each, small_batches, written
 
 #: Words of a shingle, and the Jaccard similarity from which documents are near-duplicates, as a fraction.
@@ -21,6 +23,8 @@ SHINGLE, NUMERATOR, DENOMINATOR = 5, 4, 5
 #: Bands of so many smallest hashes each. A pair at the threshold misses all bands once in 9,000 times, closer ones less often.
 BANDS, PER_BAND = 30, 6
 SEED = 42
+#: Bits in which fingerprints differ that are linked by blocks of equal bits.
+LINKED = 4
 #: Bits in which fingerprints may differ. At the threshold the sets' vectors have a cosine of 0.889, a bit differs with a
 #: probability of 0.15, and more than 24 of 64 do once in some millions of pairs.
 RADIUS = 24
@@ -149,26 +153,38 @@ def candidates(sets: DataFrame) -> DataFrame:
     return x.join(y, may).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
 
 
+def linked(classes: DataFrame, radius: int = LINKED) -> DataFrame:
+    """(u, v): pairs of nodes that connect all of classes (node, fp) whose fingerprints differ in at most radius bits. Nodes
+    of one fingerprint are held against the smallest of them, the fingerprints are linked by simhash.links()."""
+    prints = written(classes.groupBy("fp").agg(F.min("node").alias("lead")), "prints")
+    same = classes.join(prints, "fp").where("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v"))
+    out = written(same.unionByName(simhash.links(prints.select(F.col("lead").alias("node"), "fp"), radius)), "linked")
+    discard(prints)
+    return out
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, component_id) for every row of docs (doc_id, text) with a doc_id: the smallest doc_id that it reaches over
     pairs of a similarity of 0.8 or more.
 
-    Copies collapse into one node first. Every node of a bucket (equal bands) is held against the bucket's smallest; then
+    Copies collapse into one node first. Nodes of near fingerprints are linked, as linked() has it; every node of a bucket (equal bands) is held against the bucket's smallest, and the exact similarity decides about these pairs; then
     the nodes of buckets that aren't connected yet meet by their rarest shingles, as candidates() has it. A large group costs
     a row each, texts that only look alike are not held against each other, and no pair of a bucket is left out. Nulls: rows
     with a null doc_id take no part; null and empty texts are copies of each other. Repeated rows share their group; an empty
     table gives no rows; other columns are ignored.
     """
     rows = written(sketches(docs.where("doc_id is not null")), "sketches")
-    classes = rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("fp").alias("fp"))
+    classes = written(rows.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("fp").alias("fp")), "classes")
+    alike = linked(classes.select("node", "fp"))
     keyed = classes.select("node", "fp", F.posexplode("bands").alias("t", "key"))
     leads = keyed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("least")).where("n > 1")
     buckets = written(keyed.join(leads.select("t", "key", F.col("least.node").alias("lead"), F.col("least.fp").alias("lead_fp")), ["t", "key"]), "buckets")
-    asked = buckets.select("node").distinct()
+    asked = buckets.select("node").unionByName(alike.select(F.explode(F.array("u", "v")).alias("node"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(asked, "node", "left_semi")
     texts = written(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
     likely = buckets.where((F.col("node") != F.col("lead")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("lead_fp"))) <= RADIUS))
-    first = written(verified(likely.select(F.col("node").alias("u"), F.col("lead").alias("v")).distinct(), texts), "links")
+    likely = likely.select(F.col("node").alias("u"), F.col("lead").alias("v")).unionByName(alike)
+    first = written(verified(likely.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), texts), "links")
     roots = components(first)
     placed = buckets.drop("lead_fp").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = placed.groupBy("t", "key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("t", "key")
@@ -179,7 +195,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         roots = components(first.unionByName(more))
     named = rows.groupBy("copy").agg(F.min("doc_id").alias("node")).join(roots, "node", "left").select("copy", F.coalesce("root", "node").alias("component_id"))
     out = written(rows.select("doc_id", "copy").join(named, "copy").drop("copy"), "groups")
-    discard(rows, buckets, texts, first, sets, pairs, more)
+    discard(rows, classes, alike, buckets, texts, first, sets, pairs, more)
     return out
 
 

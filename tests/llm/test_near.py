@@ -37,6 +37,23 @@ def test_near_copies_beyond_four_bits(spark):
     assert {r["doc_id"] for r in stage(spark, documents(spark, texts), SF).collect()} == set(group.values())
 
 
+def test_fingerprints_link_near_copies(spark, monkeypatch):
+    """Without any bucket in common, those whose fingerprints differ in four bits or fewer are found by their blocks."""
+    from catalyne.llm import near
+
+    rnd, texts = random.Random(6), ["", None]
+    for _ in range(30):
+        base = [f"w{rnd.getrandbits(14)}" for _ in range(300)]
+        texts += [" ".join(base), edited(rnd, base, 1), edited(rnd, base, 40)]
+    prints = [near.fingerprint(near.shingles((t or "").encode())) for t in texts]
+    sets = [near.shingles((t or "").encode()) for t in texts]
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if ((prints[a] ^ prints[b]) & (2**64 - 1)).bit_count() <= near.LINKED and near.near(sets[a], sets[b])]
+    assert len(pairs) > 15
+    monkeypatch.setattr(near, "bands", lambda hashes: [int(hashes.sum()) >> 1])
+    found = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(documents(spark, texts)).collect()}
+    assert found == roots(range(len(texts)), pairs)
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_near_duplicates_of_the_table(spark, sf):
     from catalyne.llm import near
