@@ -69,6 +69,20 @@ def test_a_large_product_costs_its_nodes(spark):
     assert large < 10 * small + 5
 
 
+def test_two_levels_take_one_pass(spark, monkeypatch):
+    """Recursion is for what lies below the second level alone; the tables come from the nodes as they were written."""
+    passes, real = [], ingredients.written
+    monkeypatch.setattr(ingredients, "written", lambda df, name: passes.append(name) or real(df, name))
+    monkeypatch.setattr(ingredients, "endless_recursion", lambda spark: (_ for _ in ()).throw(AssertionError("recursion")))
+    items = [{"id": "x:1", "ingredients": [{"text": "Sugar"}, 3, {"text": "salt", "ingredients": []}]}, {"text": "<b>", "ingredients": [{"text": "lost"}]}]
+    rows = spark.createDataFrame([("1", json.dumps(items))], "code string, ingredients string")
+    names, product, sub, _ = ingredients.normalize_ingredients(rows, TAXONOMY)
+    assert passes == ["nodes"]
+    assert [(r["ingredient_name"], r["ingredient_order"]) for r in product.collect()] == [("one", 1)]
+    assert sorted((r["sous_ingredient_name"], r["rang"]) for r in sub.collect()) == [("salt", 3), ("sugar", 1)]
+    assert {r["ingredient_name"] for r in names.collect()} == {"one", "sugar", "salt"}
+
+
 def test_limits_of_recursion_are_as_before(spark):
     spark.conf.set("spark.sql.cteRecursionLevelLimit", "77")
     rows = spark.createDataFrame([("1", "[]")], "code string, ingredients string")
