@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
 from ..functions.text import compact, fuzzy_ratio, normalized, plain_ratio, ratio_bound, tokens
+from ..sources.files import written
 from .filters import brand_matches
 from .pruned import best_by_bound
 
@@ -47,7 +48,7 @@ def nearest_in_spelling(docs: DataFrame, norm: str, wanted: int = CANDIDATES) ->
     def near(f) -> Column:
         return F.greatest(f(norm, "name_norm"), FUZZY_BRAND * f(norm, "brand_norm"))
 
-    spelled = docs.groupBy("name_norm", "brand_norm").agg(F.min("code").alias("code"))
+    spelled = written(docs.groupBy("name_norm", "brand_norm").agg(F.min("code").alias("code")), "spelled")  # read by each round
     best = best_by_bound(spelled, near(ratio_bound), lambda rows: rows.withColumn("near", near(plain_ratio)), wanted, "code", "near")
     same = F.col("name_norm").eqNullSafe(F.col("_name")) & F.col("brand_norm").eqNullSafe(F.col("_brand"))
     few = F.broadcast(best.select(F.col("name_norm").alias("_name"), F.col("brand_norm").alias("_brand"), "near"))  # wanted rows at most
@@ -62,7 +63,8 @@ def search(products: DataFrame, q: str, brand: str | None = None, limit: int = 5
     without it, candidates that don't match fill the list up. Ties: by name, then code.
     """
     norm, words = query_forms(products, q)
-    docs = documents(products, fold).where(brand_matches("brand_norm", brand, normal=True))
+    # The normalized forms are made once, by all tasks however few files the products have, and read by each pass.
+    docs = written(documents(products.select("code", "product_name", "brands").repartition("code"), fold).where(brand_matches("brand_norm", brand, normal=True)), "documents")
     scored = ["full_text_score", "fuzzy_score", "ranking_score", "search_score", "search_score_pct"]
     if not norm:
         return docs.limit(0).select("code", "product_name", "brands", *[F.lit(None).cast("int" if c.endswith("pct") else "double").alias(c) for c in scored])

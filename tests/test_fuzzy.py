@@ -88,3 +88,13 @@ def test_rounds_of_bounds(spark):
         assert [r["code"] for r in got.collect()] == expected
     assert pruned.best_by_bound(rows.limit(5), F.lit(1.0), lambda r: r.withColumn("s", F.col("true")), 20, "code", "s").count() == 5
     rows.unpersist()
+
+
+def test_forms_are_made_once(spark, monkeypatch):
+    """Whatever the number of rounds, no pass over the products but the first makes normalized forms."""
+    made, real = [], search.written
+    monkeypatch.setattr(search, "written", lambda df, name: made.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or real(df, name))
+    found = search.search(parts(spark, SF), "wdget rde", limit=20, fold=False)
+    assert found.count() == 20 and [name for name, _ in made] == ["documents", "spelled"]
+    assert "regexp_replace" in made[0][1] and "RepartitionByExpression" in made[0][1]
+    assert "regexp_replace" not in made[1][1] and "_norm" not in str(found.columns)
