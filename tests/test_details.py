@@ -20,7 +20,8 @@ def plain(name):
 @pytest.mark.parametrize("a_task", [7, 8192])
 def test_labels_by_place_each_once_in_any_case(spark, monkeypatch, a_task):
     """Against brute force: repeated links, places that are missing or shared, names without letters or missing."""
-    monkeypatch.setattr(catalog, "CODES_A_TASK", a_task, raising=False)
+    for limit in ("FEW_CODES", "CODES_A_TASK"):
+        monkeypatch.setattr(catalog, limit, a_task, raising=False)
     rnd = random.Random(5)
     names = {1: "en:sugar", 2: "fr:Sugar", 3: "cane-sugar", 4: "SEL", 5: "sel", 6: "en:", 7: None, 8: "água", 9: "ÁGUA", 10: " - "}
     links = [(str(rnd.randint(0, 59)), rnd.randint(1, 11), rnd.choice([None, 1, 2, 3, 2**31 - 1])) for _ in range(900)]
@@ -46,14 +47,16 @@ def test_labels_by_place_each_once_in_any_case(spark, monkeypatch, a_task):
 
 def test_tasks_grow_with_codes(spark, monkeypatch):
     """A task's memory stays: many codes come in more tasks, however small Spark thinks these are."""
-    monkeypatch.setattr(catalog, "CODES_A_TASK", 10, raising=False)
+    for limit in ("FEW_CODES", "CODES_A_TASK"):
+        monkeypatch.setattr(catalog, limit, 10, raising=False)
     rows = queries.QUERIES["catalog_detail_ingredients_all"](spark, SF)
     codes = spark.read.parquet(f"{SF}/part.parquet").count()
     assert codes > 100 and rows.rdd.getNumPartitions() == -(-codes // 10)
 
 
-def test_links_are_shuffled_once(spark):
+def test_links_are_shuffled_once(spark, monkeypatch):
     """No row of links is sorted or hashed before it comes to its product's task."""
+    monkeypatch.setattr(catalog, "FEW_CODES", 10, raising=False)
     rows = queries.QUERIES["catalog_detail_ingredients_all"](spark, SF)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Aggregate(keys=[code" in plan and "ingredient_id" not in "".join(x for x in plan.splitlines() if "Aggregate(" in x)
